@@ -128,9 +128,10 @@ def verdicts(counts: DataFrame, labels: DataFrame, risk: Risk | None = None) ->
     return joined.withColumn("kept", ~F.col("base_failed") & ~rejected).drop("_stratum", *[f"_c_{r}" for r in RULES])
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, risk: Risk | None = None) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, risk: Risk | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The counts and verdict of every document, with the columns to keep."""
     risk = risk or Risk()
-    return verdicts(kept_table(base_counts(docs, risk.stratum), "counts"), labels, risk)
+    return verdicts(kept_table(base_counts(docs, risk.stratum, *keep), "counts"), labels, risk)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
