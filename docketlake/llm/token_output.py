@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,7 +31,8 @@ MAGIC = b"DKTTOK01"
 END_ID = 2
 SHARD_BYTES = 32 << 20
 #: Entries of a worker's cache of encoded pieces; it is emptied when full.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_000_000
+ENCODE_CHARS = 4 << 20
 SAMPLE = 256
 _POP = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.int64)
 _NTH = np.full((256, 8), 8, dtype=np.int64)  # place of the k-th set bit of a byte, lowest first
@@ -137,19 +139,41 @@ class PieceEncoder:
         self.find = regex.compile(public_tokenizers.PATTERN).findall
         self.plain = regex.compile(r" \p{L}+").fullmatch
         self.odd = regex.compile(r"^$|^\s|\s$").search
-        self.pieces: dict[str, bytes] = {}  # keyed without the space that leads them
-        self.heads: dict[str, bytes] = {}
         self.tokens: dict[str, bytes] = {}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.slots: dict[str, int] = {}  # keyed without the space that leads a piece
+        self.heads: dict[str, int] = {}  # first pieces of texts, which have none
+        self.ids = np.zeros(1 << 20, dtype=self.dtype)
+        self.start, self.length = np.zeros(1 << 18, dtype=np.int64), np.zeros(1 << 18, dtype=np.int64)
+        self.used = self.count = 0
 
     def _raw(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _learn(self, missing: set[str]) -> None:
-        if len(self.tokens) > CACHE_PIECES:
+    def _store(self, blobs: list[bytes]) -> range:
+        """Slots of the given ids in the flat array."""
+        n = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // self.ids.itemsize
+        while self.used + int(n.sum()) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while self.count + len(n) > len(self.start):
+            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+        flat = np.frombuffer(b"".join(blobs), self.dtype)
+        self.ids[self.used : self.used + len(flat)] = flat
+        new = range(self.count, self.count + len(n))
+        self.start[new.start : new.stop] = self.used + np.cumsum(n) - n
+        self.length[new.start : new.stop] = n
+        self.used += len(flat)
+        self.count += len(n)
+        return new
+
+    def _learn(self, missing: list[str]) -> None:
+        if len(self.tokens) > CACHE_PIECES // 2:
             self.tokens = {}
         find, plain, tokens = self.find, self.plain, self.tokens
-        parts = {p: find(" " + p) for p in missing if not self.odd(p)}
-        new = set().union(*parts.values()) - tokens.keys()
+        parts = [find(" " + p) for p in missing]
+        new = {x for xs in parts for x in xs if x not in tokens}
         words = [x for x in new if plain(x)]
         for a in range(0, len(words), 4000):
             line = words[a : a + 4000]
@@ -160,26 +184,34 @@ class PieceEncoder:
                 tokens.update({w: raw[x:y] for w, x, y in zip(line, cuts.tolist(), ends, strict=True)})
         for x in new - tokens.keys():
             tokens[x] = self._raw(x)
-        self.pieces.update({p: tokens[xs[0]] if len(xs) == 1 else b"".join([tokens[x] for x in xs]) for p, xs in parts.items()})
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for a in range(0, len(texts), 256):
-            split = [x.split(" ") for x in texts[a : a + 256]]
-            seen = set().union(*[s[1:] for s in split])
-            missing = seen - self.pieces.keys()
-            if len(self.pieces) + len(missing) > CACHE_PIECES:
-                self.pieces, self.heads, missing = {}, {}, seen
-            self._learn(missing)
-            for x, s in zip(texts[a : a + 256], split, strict=True):
-                head = s[0]
-                if head not in self.heads and not self.odd(head):
-                    self.heads[head] = self._raw(head)
-                try:  # a piece that is empty or borders on more white space is in no cache
-                    out.append(self.heads[head] + b"".join(map(self.pieces.__getitem__, s[1:])))
-                except KeyError:
-                    out.append(self._raw(x))
-        return out
+        self.slots.update(zip(missing, self._store([tokens[xs[0]] if len(xs) == 1 else b"".join([tokens[x] for x in xs]) for xs in parts]), strict=True))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each)."""
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        first = split.offsets.to_numpy()[:-1]
+        names = coded.dictionary.to_pylist()
+        if self.count + len(names) > CACHE_PIECES:
+            self._clear()
+        # a piece that is empty or borders on more white space gets no slot
+        missing = [p for p in names if p not in self.slots and not self.odd(p)]
+        self._learn(missing)
+        slot = np.fromiter((self.slots.get(p, -1) for p in names), dtype=np.int64, count=len(names))[coded.indices.to_numpy()]
+        head = [x.split(" ", 1)[0] for x in texts]
+        fresh = [x for x in dict.fromkeys(head) if x not in self.heads and not self.odd(x)]
+        self.heads.update(zip(fresh, self._store([self._raw(x) for x in fresh]), strict=True))
+        slot[first] = [self.heads.get(x, -1) for x in head]
+        whole = np.logical_and.reduceat(slot >= 0, first)
+        n = np.where(slot >= 0, self.length[slot], 0)
+        at = np.arange(int(n.sum())) + np.repeat(self.start[slot] - (np.cumsum(n) - n), n)
+        ids, sizes = self.ids[at], np.add.reduceat(n, first)
+        if not whole.all():
+            parts = np.split(ids, np.cumsum(sizes)[:-1])
+            for i in np.flatnonzero(~whole).tolist():
+                parts[i] = np.frombuffer(self._raw(texts[i]), self.dtype)
+            ids, sizes = np.concatenate(parts), np.array([len(x) for x in parts], dtype=np.int64)
+        return ids, sizes
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -216,11 +248,10 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         shard = TaskContext.get().partitionId()
-        end = np.array([end_id], encoder.dtype).tobytes()
         filesystem, root = _open(folder)
         filesystem.create_dir(root)
         path = f"{root}/shard-{shard:06d}.tok"
-        stream, part, size, n_ids, nulls = None, f"{path}.{TaskContext.get().taskAttemptId()}", len(end), 0, 0
+        stream, part, nulls = None, f"{path}.{TaskContext.get().taskAttemptId()}", 0
         lengths: list[int] = []
         ids: list[int] = []
         for batch in batches:
@@ -230,10 +261,16 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
             texts = batch.column(1).to_pylist()
             nulls += batch.column(0).null_count
             ids += [x for x in batch.column(0).to_pylist() if x is not None]
-            for a in range(0, len(texts), 512):
-                blobs = [x + end for x in encoder.encode(texts[a : a + 512])]
-                stream.write(b"".join(blobs))
-                lengths += [len(x) // size for x in blobs]
+            a = 0
+            while a < len(texts):
+                b, size = a, 0
+                while b < len(texts) and (b == a or size + len(texts[b]) <= ENCODE_CHARS):
+                    size += len(texts[b])
+                    b += 1
+                coded, n = encoder.encode(texts[a:b])
+                stream.write(np.insert(coded, np.cumsum(n), end_id).tobytes())
+                lengths += (n + 1).tolist()
+                a = b
         if stream is None:
             return
         offsets = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64))])
