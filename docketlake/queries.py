@@ -1,6 +1,268 @@
-"""Catalogue of the engine's own queries over the driver's tables, with their DuckDB SQL."""
+"""Catalogue of the engine's own queries over the driver's tables, with their DuckDB SQL.
+
+The tables stand for documents: orders are documents, lineitem holds docket lines (with
+repeated observations), events are runs (user = jurisdiction, type = state), pages are fetches.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import docket, ids, text
+from .operators import documents as ops
+from .plans import orchestration as plan
+from .session import table
+
+AS_OF = "2024-01-31 00:00:00"
+# One wording for each remainder of a docket line; the tables have none of their own.
+PHRASES = ["Introduced and read first time", "Referred to Committee on Ways", "Reported favorably with amendment", "Passed House", "Passed Senate", "Enrolled and presented to the Governor", "Vetoed by Governor", "Signed by Governor", "Indefinitely postponed", "Chaptered as Act No. 12", "Substituted for H.B. 2", "Nothing of note"]
+_PICK = "(l_partkey + l_suppkey + l_linenumber)"
+
+
+def _docket(spark: SparkSession, d: str) -> DataFrame:
+    at = (F.col("l_partkey") + F.col("l_suppkey") + F.col("l_linenumber")) % len(PHRASES)
+    return table(spark, d, "lineitem").select("l_orderkey", F.to_date("l_shipdate").alias("occurred_on"), F.col("l_linenumber").alias("sequence"), F.element_at(F.array(*map(F.lit, PHRASES)), (at + 1).cast("int")).alias("description"), (F.col("l_tax") * 100).cast("int").alias("tax"), "l_returnflag")
+
+
+_DOCKET = f"docket as (select l_orderkey, l_shipdate::date as occurred_on, l_linenumber as sequence, {PHRASES!r}[({_PICK} % {len(PHRASES)})::int + 1] as description, l_returnflag from lineitem)".replace("['", "(['", 1).replace("']", "'])", 1)
+_STATUS = docket.sql_case("description", 2, "null").replace("then 'passage'", "then 'passed_origin'")
+
+
+def derive_status(spark: SparkSession, d: str) -> DataFrame:
+    lines = _docket(spark, d).withColumn("implied", docket.status_from_action(F.col("description")))
+    out = lines.groupBy("l_orderkey").agg(docket.derive_status(F.col("implied"), F.col("occurred_on"), F.col("sequence"), F.col("description")).alias("status"), F.count("*").alias("n_actions"))
+    return out.withColumn("status_rank", docket.status_rank(F.col("status")))
+
+
+def classify_actions(spark: SparkSession, d: str) -> DataFrame:
+    c = _docket(spark, d).select(docket.classify_action(F.col("description")).alias("kind"), docket.status_from_action(F.col("description"), F.when(F.col("l_returnflag") == "A", "upper"), F.lit("lower")).alias("status"))
+    return c.groupBy("kind", "status").agg(F.count("*").alias("n"))
+
+
+def document_ids(spark: SparkSession, d: str) -> DataFrame:
+    cite = ids.citation(F.lit("ZZ"), F.date_format("o_orderdate", "yyyy"), F.concat(F.lit("h.b. "), F.col("o_orderkey").cast("string")))
+    return table(spark, d, "orders").select("o_orderkey", cite.alias("citation"), ids.document_id(cite, F.lit("bill")).alias("document_id"), ids.run_id(F.lit("zz"), F.col("o_orderstatus"), F.col("o_orderkey").cast("string")).alias("run_id"))
+
+
+def content_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").groupBy(ids.content_digest(F.col("text")).alias("digest")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc_id")).where("n > 1")
+
+
+def semantic_digests(spark: SparkSession, d: str) -> DataFrame:
+    ascii_only = table(spark, d, "documents").where(F.octet_length("text") == F.length("text"))
+    return ascii_only.select("doc_id", ids.semantic_digest(F.col("text")).alias("digest"))
+
+
+def field_digests(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "customer").select("c_custkey", ids.field_digest(name=F.col("c_name"), segment=F.col("c_mktsegment"), nation=F.col("c_nationkey")).alias("digest"))
+
+
+def canonical_urls(spark: SparkSession, d: str) -> DataFrame:
+    u = table(spark, d, "pages").select("page_id", text.canonical_url(F.col("url")).alias("canonical"))
+    return u.groupBy("canonical").agg(F.count("*").alias("n_pages"), F.min("page_id").alias("first_page"))
+
+
+def stripped_pages(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "pages")
+    return p.select("page_id", text.content_kind(F.col("html")).alias("kind"), F.length(text.strip_tags(F.col("html"))).alias("n_chars"))
+
+
+def parsed_dates(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders")
+    forms = ["yyyy-MM-dd", "M/d/yyyy", "yyyyMMdd", "MMMM d, yyyy", "d MMM yyyy", "MM-dd-yy"]
+    raw = F.coalesce(*[F.when(F.col("o_orderkey") % len(forms) == i, F.date_format("o_orderdate", f)) for i, f in enumerate(forms)])
+    return o.select("o_orderkey", text.parse_date(raw).cast("string").alias("parsed"))
+
+
+def truncated_texts(spark: SparkSession, d: str) -> DataFrame:
+    t = text.truncate(F.col("text"), 200)
+    return table(spark, d, "documents").select("doc_id", t.alias("summary"), F.length(t).alias("n"))
+
+
+def split_cells(spark: SparkSession, d: str) -> DataFrame:
+    cell = F.concat_ws("; ", "p_name", "p_type", F.upper("p_name"), "p_brand")
+    return table(spark, d, "part").select("p_partkey", F.array_join(text.split_list(cell), "/").alias("items"))
+
+
+def subjects(spark: SparkSession, d: str) -> DataFrame:
+    cells = ["Public Health -- Hospitals", "K-12 Schools", "Motor Vehicles (Title 3)", "State income tax relief", "Weather", "Police; fire"]
+    pick = F.element_at(F.array(*map(F.lit, cells)), (F.col("p_partkey") % len(cells) + 1).cast("int"))
+    return table(spark, d, "part").groupBy(pick.alias("raw")).agg(F.count("*").alias("n")).withColumn("subject", text.subject(F.col("raw")))
+
+
+def merged_actions(spark: SparkSession, d: str) -> DataFrame:
+    a = _docket(spark, d).select("l_orderkey", "occurred_on", "description", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("chamber"), F.lit(None).cast("string").alias("committee"), F.col("sequence").alias("ord"))
+    return ops.merge_actions(a, "l_orderkey").groupBy("l_orderkey").agg(F.count("*").alias("n_actions"), F.count("chamber").alias("n_chambers"))
+
+
+def _observations(spark: SparkSession, d: str) -> DataFrame:
+    li = table(spark, d, "lineitem")
+    return li.select(F.col("l_orderkey").alias("document_id"), F.when(F.col("l_returnflag") == "A", F.concat(F.lit("Act "), "l_partkey")).otherwise(F.lit("")).alias("title"), F.when(F.col("l_linestatus") == "F", F.concat(F.lit("s"), "l_suppkey")).alias("summary"), F.col("l_returnflag").alias("status"), F.to_date("l_shipdate").alias("introduced_on"), F.to_date("l_shipdate").alias("last_action_on"), F.col("l_shipdate").alias("observed_at"), F.lit(0).alias("n_versions"), F.col("l_linenumber").alias("n_actions"), F.lit(0).alias("n_sponsors"), (F.col("l_partkey") * 10000 + F.col("l_suppkey")).alias("ord"))
+
+
+def deduped_documents(spark: SparkSession, d: str) -> DataFrame:
+    return ops.dedupe_batch(_observations(spark, d)).select("document_id", "title", "summary", F.col("introduced_on").cast("string").alias("introduced_on"), F.col("last_action_on").cast("string").alias("last_action_on"), "n_merged")
+
+
+def change_feed(spark: SparkSession, d: str) -> DataFrame:
+    lines = _docket(spark, d).withColumn("implied", docket.status_from_action(F.col("description")))
+
+    def snapshot(rows: DataFrame, name: str) -> DataFrame:
+        agg = docket.derive_status(F.col("implied"), F.col("occurred_on"), F.col("sequence"), F.col("description"))
+        return rows.groupBy("l_orderkey").agg(agg.alias(name), F.count("*").alias(f"n_{name}"))
+
+    now, before = snapshot(lines, "cur"), snapshot(lines.where("occurred_on < date '1997-01-01'"), "prev")
+    both = now.join(before, "l_orderkey", "left")
+    kind = ops.change_kind(F.col("prev").isNotNull(), F.coalesce("prev", F.lit("unknown")), F.col("cur"), F.lit(False), F.lit(1.0), F.col("n_cur") > F.col("n_prev"))
+    return both.select("l_orderkey", F.col("prev").alias("previous_status"), F.col("cur").alias("status"), (F.col("n_cur") - F.coalesce("n_prev", F.lit(0))).alias("new_actions"), kind.alias("kind"))
+
+
+def _batch(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("document_id"), F.when(F.col("o_orderkey") % 11 == 0, "").otherwise(F.col("o_orderkey").cast("string")).alias("identifier"), F.when(F.col("o_orderkey") % 7 == 0, "").when(F.col("o_orderkey") % 5 == 0, "short").otherwise("A longer title").alias("title"), F.to_date("o_orderdate").alias("introduced_on"), F.to_date("o_orderdate").alias("last_action_on"), F.lit("1998-01-01").cast("timestamp").alias("batch_observed"), F.when(F.col("o_orderstatus") == "O", "unknown").otherwise("introduced").alias("status"), (F.col("o_orderkey") % 3).alias("n_actions"), F.when(F.col("o_orderstatus") == "P", "unknown").otherwise("upper").alias("chamber"), F.lit("bill").alias("kind"), (F.col("o_custkey") % 3).alias("n_primary"), (F.col("o_custkey") % 4).alias("n_sponsors"))
+
+
+def quality_findings(spark: SparkSession, d: str) -> DataFrame:
+    return ops.findings(_batch(spark, d)).groupBy("check", "severity").agg(F.count("*").alias("n"), F.min("subject").alias("first_subject"))
+
+
+def quality_gate(spark: SparkSession, d: str) -> DataFrame:
+    b = _batch(spark, d)
+    return ops.gate(ops.findings(b), b, max_rate=0.02)
+
+
+def _states() -> Column:
+    return F.when(F.col("event_type") == "purchase", "failed").when(F.col("event_type") == "click", "partial").otherwise("succeeded")
+
+
+def _runs(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select(F.col("user_id").cast("string").alias("jurisdiction"), F.col("event_id").alias("run_id"), _states().alias("state"), F.col("ts").alias("started_at"), F.lit(1).cast("long").alias("documents_written"))
+
+
+def _marks(spark: SparkSession, d: str) -> DataFrame:
+    return plan.advance_watermarks(table(spark, d, "events").select(F.col("user_id").cast("string").alias("jurisdiction"), F.col("ts").alias("observed_through")))
+
+
+def _places(spark: SparkSession, d: str) -> DataFrame:
+    u = table(spark, d, "events").select("user_id").distinct().union(spark.range(100000, 100003).toDF("user_id"))
+    return u.select(F.col("user_id").cast("string").alias("code"), F.when(F.col("user_id") % 3 == 0, "browser").otherwise("http").alias("method"), F.lit(True).alias("enabled"), F.when(F.col("user_id") % 5 == 0, F.array(F.lit("large"))).otherwise(F.array().cast("array<string>")).alias("tags"))
+
+
+def watermarks(spark: SparkSession, d: str) -> DataFrame:
+    return _marks(spark, d).select("jurisdiction", F.col("observed_through").cast("string").alias("observed_through"), plan.lag_seconds(F.col("observed_through"), F.lit(AS_OF).cast("timestamp")).alias("lag_seconds"), "revision")
+
+
+def schedule_plan(spark: SparkSession, d: str) -> DataFrame:
+    return plan.schedule(_places(spark, d), _marks(spark, d), F.lit(AS_OF).cast("timestamp")).select("code", "method")
+
+
+def alerts(spark: SparkSession, d: str) -> DataFrame:
+    return plan.alerts(_places(spark, d), _marks(spark, d), _runs(spark, d), F.lit(AS_OF).cast("timestamp"))
+
+
+def run_summary(spark: SparkSession, d: str) -> DataFrame:
+    return plan.run_summary(_runs(spark, d))
+
+
+def failure_streaks(spark: SparkSession, d: str) -> DataFrame:
+    return plan.failure_streaks(_runs(spark, d))
+
+
+def backfill_plan(spark: SparkSession, d: str) -> DataFrame:
+    n = table(spark, d, "nation").select(F.lower("n_name").alias("jurisdiction"), (F.col("n_nationkey") % 3 + 2018).alias("from_year"), (F.col("n_regionkey") % 2 == 0).alias("biennial"))
+    return plan.backfill(n, F.lit("2021-05-10").cast("date")).select("jurisdiction", "session", F.col("start").cast("string").alias("start"), F.col("end").cast("string").alias("end"))
+
+
+def event_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").groupBy("event_type").agg(*[F.expr(f"percentile_disc({q}) within group (order by value)").alias(n) for n, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))])
+
+
+def action_rows(spark: SparkSession, d: str) -> DataFrame:
+    a = _docket(spark, d).select("l_orderkey", F.col("occurred_on").cast("string").alias("occurred_on"), F.sha2(F.lower("description"), 256).alias("description_hash"))
+    return a.dropDuplicates()
+
+
+def search_index(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", "lang", "source", F.sha2(F.substring("text", 1, 60000), 256).alias("body_sha256"))
+
+
+def bulk_batches(spark: SparkSession, d: str) -> DataFrame:
+    return ops.batches(table(spark, d, "documents").select("doc_id"), "doc_id", 250).groupBy("batch").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+
+
+def retry_classes(spark: SparkSession, d: str) -> DataFrame:
+    status = F.when(F.col("page_id") % 10 == 0, 503).when(F.col("page_id") % 7 == 0, 404).otherwise(200)
+    p = table(spark, d, "pages").withColumn("status", status)
+    kind = F.when(F.col("status").isin(429, 503), "rate_limited").when(F.col("status") >= 500, "fetch").when((F.col("status") == 200) & (F.octet_length("html") < 512), "unavailable").otherwise("ok")
+    return p.groupBy("status", kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
+def frontier(spark: SparkSession, d: str) -> DataFrame:
+    seen = table(spark, d, "pages").where("page_id % 4 = 0").select(text.canonical_url(F.col("url")).alias("url")).distinct()
+    links = table(spark, d, "pages").select(text.canonical_url(F.col("url")).alias("url"), (F.col("page_id") % 3).alias("priority"), "page_id")
+    new = links.join(seen, "url", "left_anti").groupBy("url").agg(F.min(F.struct("page_id", "priority")).alias("m"))
+    return new.select("url", F.col("m.page_id").alias("ord"), F.col("m.priority").alias("priority"))
+
+
+def token_bucket(spark: SparkSession, d: str) -> DataFrame:
+    from .streaming.ingest import token_bucket as bucket
+
+    return bucket(table(spark, d, "events").select(F.col("user_id").cast("string").alias("host"), F.unix_timestamp("ts").cast("double").alias("t")), per_minute=0.01, burst=2.0)
+
+
+def similar_versions(spark: SparkSession, d: str) -> DataFrame:
+    from .functions.udfs import text_similarity
+
+    v = table(spark, d, "conversations").select("conv_id", "turn", "text")
+    pairs = v.join(v.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("next")), ["conv_id", "turn"])
+    differs = F.col("text") != F.col("next")
+    return pairs.select("conv_id", "turn", F.when(differs, text_similarity(F.when(differs, F.col("text")), F.when(differs, F.col("next")))).otherwise(1.0).alias("similarity"))
+
+
+QUERIES = {f.__name__: f for f in (derive_status, classify_actions, document_ids, content_duplicates, semantic_digests, field_digests, canonical_urls, stripped_pages, parsed_dates, truncated_texts, split_cells, subjects, merged_actions, deduped_documents, change_feed, quality_findings, quality_gate, watermarks, schedule_plan, alerts, run_summary, failure_streaks, backfill_plan, event_percentiles, action_rows, search_index, bulk_batches, retry_classes, frontier, token_bucket, similar_versions)}
+
+_DERIVED = f"select l_orderkey, {{cols}} arg_max(s, (occurred_on, sequence, {docket.sql_rank('s')}, description)) filter (where s is not null) as st, count(*) as n from (select *, {_STATUS} as s from docket {{where}}) group by l_orderkey"
+_RUNS = "runs as (select user_id::varchar as jurisdiction, event_id as run_id, case event_type when 'purchase' then 'failed' when 'click' then 'partial' else 'succeeded' end as state, ts as started_at from events)"
+_MARKS = "marks as (select user_id::varchar as jurisdiction, max(ts) - interval 15 minutes as o from events group by 1)"
+_PLACES = "places as (select user_id::varchar as code, case when user_id % 3 = 0 then 'browser' else 'http' end as method, user_id % 5 = 0 as large from (select distinct user_id from events union select unnest(range(100000, 100003))))"
+_LAG = f"greatest(0, epoch(timestamp '{AS_OF}')::bigint - floor(epoch(o))::bigint)"
+_URL = """case when regexp_matches(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://') then lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)) ||
+  case when rtrim(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/') = '' then '/' else rtrim(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/') end ||
+  coalesce(nullif('?' || array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '[?]([^#]*)', 1), '&'), lambda x: x <> '' and lower(string_split(x, '=')[1]) not in (""" + ", ".join(repr(t) for t in text.TRACKING) + """))), '&'), '?'), '') else url end"""
+
+SQL = {
+    "derive_status": f"with {_DOCKET}, d as ({_DERIVED.format(cols='', where='')}) select l_orderkey, coalesce(st, 'unknown') as status, n as n_actions, {docket.sql_rank(chr(99) + chr(111) + 'alesce(st, ' + repr('unknown') + ')')}::integer as status_rank from d",
+    "classify_actions": f"with {_DOCKET} select kind, case when s = 'passage' then case when coalesce(case when l_returnflag = 'A' then 'upper' end, case when regexp_matches(lower(description), 'senate') then 'upper' when regexp_matches(lower(description), 'house|assembly') then 'lower' end) <> 'lower' then 'passed_second' else 'passed_origin' end else s end as status, count(*) as n from (select *, {docket.sql_case('description', 1, repr('unknown'))} as kind, {docket.sql_case('description', 2, 'null')} as s from docket) group by all",
+    "document_ids": f"with c as (select o_orderkey, 'zz-' || strftime(o_orderdate, '%Y') || '-HB' || o_orderkey as citation, substr(sha1('zz|' || o_orderstatus || '|' || o_orderkey), 1, 24) as run_id from orders), h as (select *, sha1(unhex('{ids.NAMESPACE}') || encode('bill::' || citation)) as h from c) select o_orderkey, citation, run_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || lower(to_hex((('0x' || substr(h, 17, 2))::integer & 63) | 128)) || substr(h, 19, 2) || '-' || substr(h, 21, 12) as document_id from h",
+    "content_duplicates": "select sha256(text) as digest, count(*) as n, min(doc_id) as first_doc_id from documents group by 1 having count(*) > 1",
+    "semantic_digests": "select doc_id, sha256(lower(trim(regexp_replace(" + "".join("regexp_replace(" for _ in ids.VOLATILE) + "text" + "".join(f", '{p}', ' ', 'g')" for p in ids.VOLATILE) + r", '\s+', ' ', 'g')))) as digest from documents where strlen(text) = length(text)",
+    "field_digests": r"select c_custkey, sha256('name=' || trim(c_name) || chr(31) || 'nation=' || c_nationkey || chr(31) || 'segment=' || trim(c_mktsegment)) as digest from customer",
+    "canonical_urls": f"select {_URL} as canonical, count(*) as n_pages, min(page_id) as first_page from pages group by 1",
+    "parsed_dates": "select o_orderkey, o_orderdate::date::varchar as parsed from orders",
+    "truncated_texts": "with c as (select doc_id, text, substr(text, 1, 199) as cut from documents), s as (select *, length(cut) - strpos(reverse(cut), ' ') as sp, strpos(cut, ' ') > 0 as has from c), t as (select doc_id, case when length(text) <= 200 then text else rtrim(substr(cut, 1, case when has and sp > 100 then sp else length(cut) end)) || '…' end as summary from s) select doc_id, summary, length(summary)::integer as n from t",
+    "split_cells": "select p_partkey, p_name || '/' || p_type || '/' || p_brand as items from part",
+    "subjects": "select raw, count(*) as n, case raw when 'Public Health -- Hospitals' then 'health' when 'K-12 Schools' then 'education' when 'Motor Vehicles (Title 3)' then 'transportation' when 'State income tax relief' then 'revenue' when 'Police; fire' then 'public-safety' end as subject from (select ['Public Health -- Hospitals', 'K-12 Schools', 'Motor Vehicles (Title 3)', 'State income tax relief', 'Weather', 'Police; fire'][(p_partkey % 6)::int + 1] as raw from part) group by all",
+    "merged_actions": f"with {_DOCKET} select l_orderkey, count(*) as n_actions, count(c) as n_chambers from (select l_orderkey, occurred_on, lower(description), max(case when l_returnflag <> 'N' then l_returnflag end) as c from docket group by all) group by 1",
+    "deduped_documents": "with o as (select l_orderkey as document_id, case when l_returnflag = 'A' then 'Act ' || l_partkey else '' end as title, case when l_linestatus = 'F' then 's' || l_suppkey end as summary, l_shipdate::date as d, l_linenumber as n, -(l_partkey * 10000 + l_suppkey) as o from lineitem), s as (select *, (n, (summary is not null)::int, length(title), o) as score from o) select document_id, arg_max(title, score) as title, arg_max(summary, score) filter (where summary is not null) as summary, min(d)::varchar as introduced_on, max(d)::varchar as last_action_on, count(*) as n_merged from s group by 1",
+    "change_feed": f"with {_DOCKET}, cur as ({_DERIVED.format(cols='', where='')}), prev as ({_DERIVED.format(cols='', where=chr(119) + 'here occurred_on < date ' + repr('1997-01-01'))}), b as (select c.l_orderkey, case when p.l_orderkey is not null then coalesce(p.st, 'unknown') end as previous_status, coalesce(c.st, 'unknown') as status, c.n - coalesce(p.n, 0) as new_actions from cur c left join prev p using (l_orderkey)) select *, case when previous_status is null then 'new' when status = 'withdrawn' and previous_status <> 'withdrawn' then 'withdrawn' when previous_status <> status then case when previous_status in {tuple(docket.TERMINAL)!r} and status not in {tuple(docket.TERMINAL)!r} then 'regressed' when {docket.sql_rank('status')} > {docket.sql_rank('previous_status')} then 'advanced' else 'regressed' end when new_actions > 0 then 'metadata_only' else 'unchanged' end as kind from b",
+    "quality_findings": """with b as (select o_orderkey as k, o_orderdate::date as d, * from orders), f as (
+ select 'identifier_present' as "check", 'error' as severity, k from b where k % 11 = 0 or length(k::varchar) < 2
+ union all select 'title_present', 'error', k from b where k % 7 = 0 union all select 'title_present', 'warn', k from b where k % 7 <> 0 and k % 5 = 0
+ union all select 'dates_plausible', 'error', k from b where d > date '1998-01-04' union all select 'status_supported', 'warn', k from b where o_orderstatus <> 'O' and k % 3 = 0
+ union all select 'chamber_known', 'warn', k from b where o_orderstatus = 'P' union all select 'sponsor_sanity', 'warn', k from b where o_custkey % 3 > 1
+ union all select 'sponsor_sanity', 'info', k from b where o_custkey % 4 = 0 union all select 'no_duplicate_ids', 'error', k from b group by k having count(*) > 1)
+ select "check", severity, count(*) as n, min(k) as first_subject from f group by all""",
+    "watermarks": f"with {_MARKS} select jurisdiction, strftime(o, '%Y-%m-%d %H:%M:%S') || case when o <> date_trunc('second', o) then rtrim(strftime(o, '.%f'), '0') else '' end as observed_through, {_LAG} as lag_seconds, 1 as revision from marks",
+    "schedule_plan": f"with {_MARKS}, {_PLACES}, s as (select code, method, case when o is null then 1e300 when {_LAG} < 900 then 0 else {_LAG} * case when large then 1.5 else 1.0 end end as score from places left join marks on code = jurisdiction), r as (select *, row_number() over (partition by method order by score desc, code) as b from s where score > 0) select code, method from r where method <> 'browser' or b <= 2 order by score desc, code limit 8",
+    "run_summary": f"with {_RUNS} select jurisdiction, 0::bigint as pending, 0::bigint as running, count(*) filter (where state = 'succeeded') as succeeded, count(*) filter (where state = 'partial') as partial, count(*) filter (where state = 'failed') as failed, 0::bigint as abandoned, count(*) as documents_written from runs group by 1",
+    "failure_streaks": f"with {_RUNS}, w as (select *, sum((state <> 'failed')::int) over (partition by jurisdiction order by started_at desc, run_id desc) as ok from runs) select jurisdiction, count(*) filter (where ok = 0) as streak from w group by 1",
+    "event_percentiles": "select event_type, quantile_disc(value, 0.5) as p50, quantile_disc(value, 0.95) as p95, quantile_disc(value, 0.99) as p99 from events group by 1",
+    "action_rows": f"with {_DOCKET} select distinct l_orderkey, occurred_on::varchar as occurred_on, sha256(lower(description)) as description_hash from docket",
+    "search_index": "select doc_id, lang, source, sha256(substr(text, 1, 60000)) as body_sha256 from documents",
+    "bulk_batches": "select b as batch, count(*) as n, min(doc_id) as first_id, max(doc_id) as last_id from (select doc_id, (row_number() over (order by doc_id) - 1) // 250 as b from documents) group by 1",
+    "retry_classes": "select status, kind, count(*) as n from (select status, case when status = 503 then 'rate_limited' when status = 200 and octet_length(encode(html)) < 512 then 'unavailable' else 'ok' end as kind from (select *, case when page_id % 10 = 0 then 503 when page_id % 7 = 0 then 404 else 200 end as status from pages)) group by all",
+    "frontier": f"with u as (select page_id, {_URL} as url from pages) select url, min(page_id) as ord, min(page_id) % 3 as priority from u where url not in (select url from u where page_id % 4 = 0) group by url",
+}
+SQL["quality_gate"] = f"select 0::bigint as critical, coalesce(sum(n) filter (where severity = 'error'), 0)::bigint as error, coalesce(sum(n) filter (where severity = 'warn'), 0)::bigint as warn, coalesce(sum(n) filter (where severity = 'info'), 0)::bigint as info, (select count(*) from orders) as documents, coalesce(sum(n) filter (where severity = 'error'), 0) <= 0.02 * (select count(*) from orders) as passed from ({SQL['quality_findings']})"
+SQL["alerts"] = f"with {_MARKS}, {_PLACES}, st as ({SQL['failure_streaks']}), a as (select code as jurisdiction, case when o is null then 'never_ingested' else 'stale' end as rule, case when o is null or {_LAG} >= 86400 then 'critical' when {_LAG} >= 21600 then 'warn' end as severity from places left join marks on code = jurisdiction union all select code, 'failing', case when streak >= 4 then 'critical' when streak >= 2 then 'warn' end from places left join st on code = jurisdiction) select * from a where severity is not null"
+SQL["backfill_plan"] = "with n as (select lower(n_name) as jurisdiction, n_nationkey % 3 + 2018 as f, n_regionkey % 2 = 0 as b from nation), y as (select jurisdiction, b, unnest(generate_series(case when b and f % 2 = 0 then f - 1 else f end, 2021, case when b then 2 else 1 end)) as y from n), s as (select jurisdiction, case when b then y || '-' || (y + 1) else y::varchar end as session, make_date(y, 1, 1) as a, least(make_date(case when b then y + 1 else y end, 12, 31), date '2021-05-10') as z from y), c as (select *, unnest(generate_series(a, z, interval 30 days))::date as start from s where a <= z) select jurisdiction, session, start::varchar as start, least(start + 29, z)::varchar as \"end\" from c"
