@@ -35,6 +35,9 @@ PERCENT = 75
 EXTRA = 32
 FLUSH = 1 << 20
 _RATIO = 1.25
+#: A posting costs as many comparisons as its list has sets, up to this: longer lists are
+#: settled by their pivot.
+SCAN = 16
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -155,7 +158,8 @@ def _shared_lists(h: np.ndarray, who: np.ndarray, df: np.ndarray) -> pa.RecordBa
 
 def _ordered(lists: DataFrame) -> DataFrame:
     """sid, n, els (shingles in several sets, rarest first), dfs, q1, q2 (their number within
-    the prefix for single shingles and for pairs)."""
+    the prefix for single shingles and for pairs), scan (cost of its lists), central (mean
+    frequency: highest for a set that near copies stem from)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,10 +170,12 @@ def _ordered(lists: DataFrame) -> DataFrame:
                 o = np.lexsort((h, df))
                 spare = n - _need(n) - (n - len(h))
                 q1, q2 = max(0, spare + 1), max(0, spare + 2) if n > 1 else 0
-                out.append((sid, n, h[o].view(np.int64), int(min(q1, len(h))), int(min(q2, len(h))), int(df[o][:q1].sum())))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate([pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64()])], ["sid", "n", "els", "q1", "q2", "scan"])
+                scan = int(np.minimum(df[o][:q1], SCAN).sum())
+                out.append((sid, n, h[o].view(np.int64), int(min(q1, len(h))), int(min(q2, len(h))), scan, int(df.sum() // len(df))))
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["sid", "n", "els", "q1", "q2", "scan", "central"])
 
-    return lists.mapInArrow(run, "sid long, n long, els array<long>, q1 long, q2 long, scan long")
+    return lists.mapInArrow(run, "sid long, n long, els array<long>, q1 long, q2 long, scan long, central long")
 
 
 def boundary(costs: list[tuple[int, float, float]]) -> int:
@@ -186,39 +192,46 @@ def boundary(costs: list[tuple[int, float, float]]) -> int:
 
 
 def _signatures(sets: DataFrame, top: int) -> DataFrame:
-    """sig, sid, n, light"""
+    """sig, light, sid, n, room (shingles that can still be shared if this is the first shared
+    one), central"""
+    names = ["sig", "light", "sid", "n", "room", "central"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sig, ids, ns, light = [], [], [], []
-            for sid, n, els, q1, q2 in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            sig, rooms, meta, size = [], [], [], 0
+            for sid, n, els, q1, q2, central in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 e = np.array(els, dtype=np.int64).view(np.uint64)
                 if n <= top and q2 > 1:
                     i, j = np.triu_indices(q2, 1)
-                    s = mix(mix(e[i]) * _SALT + e[j])
-                    sig.append(s)
-                    light.append(np.ones(len(s), bool))
-                    ids += [sid] * len(s)
-                    ns += [n] * len(s)
+                    sig.append(mix(mix(e[i]) * _SALT + e[j]))
+                    rooms.append(len(e) - i)
+                    meta.append((True, sid, n, central, len(i)))
+                    size += len(i)
                 if 100 * n >= PERCENT * (top + 1) and q1:
                     sig.append(e[:q1])
-                    light.append(np.zeros(q1, bool))
-                    ids += [sid] * q1
-                    ns += [n] * q1
-                if len(ids) > 200_000:
-                    yield batch_of(sig, ids, ns, light)
-                    sig, ids, ns, light = [], [], [], []
-            if ids:
-                yield batch_of(sig, ids, ns, light)
+                    rooms.append(len(e) - np.arange(q1))
+                    meta.append((False, sid, n, central, q1))
+                    size += q1
+                if size > 200_000:
+                    yield batch_of(sig, rooms, meta)
+                    sig, rooms, meta, size = [], [], [], 0
+            if meta:
+                yield batch_of(sig, rooms, meta)
 
-    def batch_of(sig, ids, ns, light):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(np.concatenate(light))], ["sig", "sid", "n", "light"])
+    def batch_of(sig, rooms, meta):
+        times = [m[4] for m in meta]
+        light, sid, n, central = (np.repeat(np.array(x), times) for x in list(zip(*meta, strict=True))[:4])
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(sig).view(np.int64), light, sid, n, np.concatenate(rooms).astype(np.int64), central)], names)
 
-    return sets.select("sid", "n", "els", "q1", "q2").mapInArrow(run, "sig long, sid long, n long, light boolean")
+    return sets.select("sid", "n", "els", "q1", "q2", "central").mapInArrow(run, "sig long, light boolean, sid long, n long, room long, central long")
 
 
-def _near(a: Column, b: Column) -> Column:
-    return (100 * a >= PERCENT * b) & (100 * b >= PERCENT * a)
+def _fit(a: str, b: str, top: int) -> Column:
+    """Sizes and rooms allow the similarity, and the pair is this signature's to find. The
+    first shared signature of a similar pair always passes."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    room = F.least(F.col(f"{a}.room"), F.col(f"{b}.room"))
+    return (F.col(f"{a}.light") | (n > top) | (m > top)) & ((100 + PERCENT) * room >= PERCENT * (n + m))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -260,17 +273,20 @@ def similar_sets(own: DataFrame, found: DataFrame) -> DataFrame:
     costs = live.groupBy(F.floor(F.log(F.col("n")) / float(np.log(_RATIO)) + 1e-9).alias("c")).agg(F.sum(F.col("q2") * (F.col("q2") - 1) / 2).alias("pairs"), F.sum("scan").cast("double").alias("scan"))
     top = boundary([(int(r["c"]), r["pairs"], r["scan"]) for r in costs.collect()])
     signatures = kept_table(_signatures(live, top), "signatures")
-    fits = f"(light or n > {top} or other > {top})"
-    pivot = signatures.groupBy("sig", "light").agg(F.min(F.struct("sid", "n")).alias("p"), F.count("*").alias("m")).where("m > 1").select("sig", "light", "p")
-    stars = signatures.join(pivot, ["sig", "light"]).selectExpr("sid as x", "p.sid as y", "n", "p.n as other", "light").where("x <> y").where(fits).where(_near(F.col("n"), F.col("other"))).select("x", "y").distinct()
-    stars = kept_table(stars, "pairs")
+    key = ["sig", "light"]
+    pivot = F.max_by(F.struct("sid", "n", "room", "light"), F.struct("central", "sid"))
+    pivots = signatures.groupBy(*key).agg(pivot.alias("p"), F.count("*").alias("m")).where("m > 1").select(*key, "p")
+    stars = signatures.alias("a").join(pivots.alias("b"), key).select("a.*", "p").where("sid <> p.sid").withColumn("a", F.struct("n", "room", "light")).where(_fit("a", "p", top))
+    stars = kept_table(stars.select(F.col("sid").alias("x"), F.col("p.sid").alias("y")).distinct(), "pairs")
     links = kept_table(_linked(stars, sets), "links")
     labels = components(links)
-    named = signatures.join(labels.withColumnRenamed("v", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    open_ = kept_table(named.groupBy("sig", "light").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select("sig", "light"), "open")
-    rest = named.join(open_, ["sig", "light"], "left_semi")
-    a, b = rest.alias("a"), rest.select("sig", "light", F.col("sid").alias("other_sid"), F.col("n").alias("other"), F.col("label").alias("other_label")).alias("b")
-    more = a.join(b, ["sig", "light"]).where("sid > other_sid and label <> other_label").where(fits).where(_near(F.col("n"), F.col("other"))).selectExpr("sid as x", "other_sid as y").distinct()
+    named = kept_table(signatures.join(labels.withColumnRenamed("v", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid")), "named")
+    # lists that still hold several components: sets outside the pivot's against all others
+    open_ = kept_table(named.groupBy(*key).agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.max_by("label", F.struct("central", "sid")).alias("main")).where("_lo <> _hi").select(*key, "main"), "open")
+    rest = named.join(open_, key)
+    few = rest.where("label <> main")
+    pairs = few.alias("a").join(rest.alias("b"), key)
+    more = pairs.where("a.label <> b.label and (b.label = b.main or a.sid > b.sid)").where(_fit("a", "b", top)).select(F.col("a.sid").alias("x"), F.col("b.sid").alias("y")).distinct()
     known = stars.union(stars.selectExpr("y as x", "x as y"))
     added = kept_table(_linked(more.join(known, ["x", "y"], "left_anti"), sets), "links")
     return labels if added.isEmpty() else components(links.union(added))
