@@ -38,6 +38,8 @@ _RATIO = 1.25
 #: A posting costs as many comparisons as its list has sets, up to this: longer lists are
 #: settled by their pivot.
 SCAN = 16
+#: Turns of comparing lists with one pivot each before all open pairs are compared.
+TURNS = 4
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -193,8 +195,8 @@ def boundary(costs: list[tuple[int, float, float]]) -> int:
 
 def _signatures(sets: DataFrame, top: int) -> DataFrame:
     """sig, light, sid, n, room (shingles that can still be shared if this is the first shared
-    one), central"""
-    names = ["sig", "light", "sid", "n", "room", "central"]
+    one), all (those in any other set), central"""
+    names = ["sig", "light", "sid", "n", "room", "all", "central"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,12 +207,12 @@ def _signatures(sets: DataFrame, top: int) -> DataFrame:
                     i, j = np.triu_indices(q2, 1)
                     sig.append(mix(mix(e[i]) * _SALT + e[j]))
                     rooms.append(len(e) - i)
-                    meta.append((True, sid, n, central, len(i)))
+                    meta.append((True, sid, n, len(e), central, len(i)))
                     size += len(i)
                 if 100 * n >= PERCENT * (top + 1) and q1:
                     sig.append(e[:q1])
                     rooms.append(len(e) - np.arange(q1))
-                    meta.append((False, sid, n, central, q1))
+                    meta.append((False, sid, n, len(e), central, q1))
                     size += q1
                 if size > 200_000:
                     yield batch_of(sig, rooms, meta)
@@ -219,18 +221,18 @@ def _signatures(sets: DataFrame, top: int) -> DataFrame:
                 yield batch_of(sig, rooms, meta)
 
     def batch_of(sig, rooms, meta):
-        times = [m[4] for m in meta]
-        light, sid, n, central = (np.repeat(np.array(x), times) for x in list(zip(*meta, strict=True))[:4])
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(sig).view(np.int64), light, sid, n, np.concatenate(rooms).astype(np.int64), central)], names)
+        times = [m[5] for m in meta]
+        light, sid, n, total, central = (np.repeat(np.array(x), times) for x in list(zip(*meta, strict=True))[:5])
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(sig).view(np.int64), light, sid, n, np.concatenate(rooms).astype(np.int64), total, central)], names)
 
-    return sets.select("sid", "n", "els", "q1", "q2", "central").mapInArrow(run, "sig long, light boolean, sid long, n long, room long, central long")
+    return sets.select("sid", "n", "els", "q1", "q2", "central").mapInArrow(run, "sig long, light boolean, sid long, n long, room long, all long, central long")
 
 
-def _fit(a: str, b: str, top: int) -> Column:
-    """Sizes and rooms allow the similarity, and the pair is this signature's to find. The
-    first shared signature of a similar pair always passes."""
+def _fit(a: str, b: str, top: int, room: str) -> Column:
+    """Sizes and rooms allow the similarity, and the pair is this signature's to find. With
+    room, the first shared signature of a similar pair always passes; with all, each one."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    room = F.least(F.col(f"{a}.room"), F.col(f"{b}.room"))
+    room = F.least(F.col(f"{a}.{room}"), F.col(f"{b}.{room}"))
     return (F.col(f"{a}.light") | (n > top) | (m > top)) & ((100 + PERCENT) * room >= PERCENT * (n + m))
 
 
@@ -274,19 +276,30 @@ def similar_sets(own: DataFrame, found: DataFrame) -> DataFrame:
     top = boundary([(int(r["c"]), r["pairs"], r["scan"]) for r in costs.collect()])
     signatures = kept_table(_signatures(live, top), "signatures")
     key = ["sig", "light"]
-    pivot = F.max_by(F.struct("sid", "n", "room", "light"), F.struct("central", "sid"))
-    pivots = signatures.groupBy(*key).agg(pivot.alias("p"), F.count("*").alias("m")).where("m > 1").select(*key, "p")
-    stars = signatures.alias("a").join(pivots.alias("b"), key).select("a.*", "p").where("sid <> p.sid").withColumn("a", F.struct("n", "room", "light")).where(_fit("a", "p", top))
-    stars = kept_table(stars.select(F.col("sid").alias("x"), F.col("p.sid").alias("y")).distinct(), "pairs")
-    links = kept_table(_linked(stars, sets), "links")
-    labels = components(links)
-    named = kept_table(signatures.join(labels.withColumnRenamed("v", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid")), "named")
+    named = signatures.withColumn("label", F.col("sid"))
+    stars = links = labels = None
+    for turn in range(TURNS):
+        # the first turn's pivots are the most central sets, the later ones' are random; only
+        # sets outside the pivot's component meet it, so each turn is linear in the postings
+        order = F.struct("central", "sid") if not turn else F.struct(F.xxhash64("sid", F.lit(turn)), "sid")
+        pivots = named.groupBy(*key).agg(F.max_by(F.struct("sid", "n", "all", "light", "label"), order).alias("p"), F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select(*key, "p")
+        met = named.join(pivots, key).where("label <> p.label").withColumn("a", F.struct("n", "all", "light")).where(_fit("a", "p", top, "all")).select(F.col("sid").alias("x"), F.col("p.sid").alias("y")).distinct()
+        met = kept_table(met if stars is None else met.join(stars, ["x", "y"], "left_anti"), "pairs")
+        new = kept_table(_linked(met, sets), "links")
+        stars = met if stars is None else stars.union(met)
+        grown = not new.isEmpty()
+        links = new if links is None else links.union(new)
+        if grown or labels is None:
+            labels = components(links)
+            named = kept_table(signatures.join(labels.withColumnRenamed("v", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid")), "named")
+        elif turn:
+            break
     # lists that still hold several components: sets outside the pivot's against all others
     open_ = kept_table(named.groupBy(*key).agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.max_by("label", F.struct("central", "sid")).alias("main")).where("_lo <> _hi").select(*key, "main"), "open")
     rest = named.join(open_, key)
     few = rest.where("label <> main")
     pairs = few.alias("a").join(rest.alias("b"), key)
-    more = pairs.where("a.label <> b.label and (b.label = b.main or a.sid > b.sid)").where(_fit("a", "b", top)).select(F.col("a.sid").alias("x"), F.col("b.sid").alias("y")).distinct()
+    more = pairs.where("a.label <> b.label and (b.label = b.main or a.sid > b.sid)").where(_fit("a", "b", top, "room")).select(F.col("a.sid").alias("x"), F.col("b.sid").alias("y")).distinct()
     known = stars.union(stars.selectExpr("y as x", "x as y"))
     added = kept_table(_linked(more.join(known, ["x", "y"], "left_anti"), sets), "links")
     return labels if added.isEmpty() else components(links.union(added))
