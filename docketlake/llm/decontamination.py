@@ -47,15 +47,24 @@ def _hash(t: Column, i: Column) -> Column:
     return F.xxhash64(F.slice(t, i + 1, F.lit(WINDOW)))
 
 
-def _windows(df: DataFrame, key: str) -> DataFrame:
-    """key, i, h, and the placeholders' values of each window."""
-    d = df.select(key, _split(_plain(F.col("text"))).alias("_r"), _split(_template(_plain(F.col("text")))).alias("_t"))
-    d = d.select(key, "_r", "_t", F.explode(_starts(F.size("_t"), 1)).alias("i"))
+def _is_slot(w: Column) -> Column:
+    return w.isin("<num>", "<name>", "<unit>")
+
+
+def _item_windows(benchmark: DataFrame) -> DataFrame:
+    """item_id, i, h, slots (place in the window and value of each placeholder)."""
+    d = benchmark.where("item_id is not null").select("item_id", "text").distinct()
+    d = d.select("item_id", _split(_plain(F.col("text"))).alias("_r"), _split(_template(_plain(F.col("text")))).alias("_t"))
+    d = d.select("item_id", "_r", "_t", F.explode(_starts(F.size("_t"), 1)).alias("i"))
     t, r = F.slice("_t", F.col("i") + 1, F.lit(WINDOW)), F.slice("_r", F.col("i") + 1, F.lit(WINDOW))
-    d = d.select(key, "i", F.xxhash64(t).alias("h"), t.alias("_t"), r.alias("_r"))
-    slot = lambda w: w.isin("<num>", "<name>", "<unit>")
-    d = d.where(F.size(F.filter("_t", lambda w: ~slot(w))) >= LITERALS)
-    return d.select(key, "i", "h", F.transform("_t", lambda w, k: F.when(slot(w), F.get("_r", k))).alias("slots"))
+    d = d.select("item_id", "i", F.xxhash64(t).alias("h"), t.alias("_t"), r.alias("_r"))
+    d = d.where(F.size(F.filter("_t", lambda w: ~_is_slot(w))) >= LITERALS)
+    return d.select("item_id", "i", "h", _marks(F.col("_t"), F.col("_r")).alias("slots"))
+
+
+def _marks(t: Column, r: Column) -> Column:
+    """(place, value) of each placeholder."""
+    return F.filter(F.transform(t, lambda w, k: F.when(_is_slot(w), F.struct(k.alias("place"), F.get(r, k).alias("value")))), lambda x: x.isNotNull())
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -66,19 +75,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     are reported each. Rows with the same id and text give the same rows once; other rows
     with a repeated or null id are judged apart. Extra columns are ignored.
     """
-    items = kept_table(_windows(benchmark.where("item_id is not null").select("item_id", "text").distinct(), "item_id"), "items")
+    items = kept_table(_item_windows(benchmark), "items")
     sizes = items.groupBy("item_id").agg(F.countDistinct("i").alias("n_item_windows"))
     own = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_row"))
-    t = own.select("doc_id", "_row", _split(_template(_plain(F.col("text")))).alias("_t"))
-    probes = t.select("doc_id", "_row", F.explode(F.transform(_starts(F.size("_t"), STRIDE), lambda i: _hash(F.col("_t"), i))).alias("h"))
+    hashes = lambda step: F.transform(_starts(F.size("_t"), step), lambda i: _hash(F.col("_t"), i))
+    t = own.select("_row", _split(_template(_plain(F.col("text")))).alias("_t"))
+    probes = t.select("_row", F.explode(hashes(STRIDE)).alias("h"))
     found = kept_table(probes.join(items.select("h").distinct(), "h", "left_semi").select("_row").distinct(), "found")
-    again = own.join(found, "_row", "left_semi").dropDuplicates(["_row"])
-    ids = again.select("doc_id", "_row")
-    pairs = _windows(again, "_row").alias("d").join(items.alias("b"), "h").select("_row", "item_id", F.col("b.i").alias("j"), (F.col("d.i") - F.col("b.i")).alias("shift"), F.arrays_zip(F.col("b.slots").alias("b"), F.col("d.slots").alias("d")).alias("z"))
-    pairs = kept_table(pairs, "pairs")
-    values = pairs.select("_row", "item_id", "shift", F.explode("z").alias("z")).where("z.b is not null").groupBy("_row", "item_id", "shift", F.col("z.b").alias("b")).agg((F.min("z.d") != F.max("z.d")).alias("clash"))
+    again = own.join(found, "_row", "left_semi")
+    ids = again.select("doc_id", "_row").distinct()
+    # hashes and placeholders of a text, never a text or its words beside each window
+    again = again.select("_row", _split(_plain(F.col("text"))).alias("_r"), _split(_template(_plain(F.col("text")))).alias("_t"))
+    again = kept_table(again.select("_row", hashes(1).alias("hs"), _marks(F.col("_t"), F.col("_r")).alias("marks")), "templates")
+    windows = again.select("_row", F.posexplode("hs").alias("at", "h"))
+    pairs = kept_table(windows.join(items, "h").select("_row", "item_id", F.col("i").alias("j"), "at", "slots").withColumn("shift", F.col("at") - F.col("j")), "pairs")
+    asked = pairs.select("_row", "item_id", "shift", "at", F.inline("slots")).select("_row", "item_id", "shift", (F.col("at") + F.col("place")).alias("place"), F.col("value").alias("b")).distinct()
+    values = asked.join(again.select("_row", F.inline("marks")).distinct(), ["_row", "place"]).groupBy("_row", "item_id", "shift", "b").agg((F.min("value") != F.max("value")).alias("clash"))
     clashing = values.where("clash").select("_row", "item_id", "shift").distinct()
-    good = pairs.join(clashing, ["_row", "item_id", "shift"], "left_anti").groupBy("_row", "item_id").agg(F.countDistinct("j").alias("n_windows"))
+    good = pairs.select("_row", "item_id", "shift", "j").join(clashing, ["_row", "item_id", "shift"], "left_anti").groupBy("_row", "item_id").agg(F.countDistinct("j").alias("n_windows"))
     hits = good.join(sizes, "item_id").where(F.col("n_windows") >= COVERAGE * F.col("n_item_windows"))
     return kept_table(hits.join(ids, "_row").select("_row", "doc_id", "item_id", "n_windows", "n_item_windows"), "leaks")
 
