@@ -58,10 +58,11 @@ def content_digest(payload: Column) -> Column:
 
 
 def semantic_digest(text: Column) -> Column:
-    """For text in NFKC; udfs.nfkc brings other text there."""
-    out = F.translate(text, "­", "")
+    """For text in NFKC; udfs.nfkc brings other text there. Classes are those of Unicode, and
+    the four ASCII separators count as white space."""
+    out = F.translate(text, "\x1c\x1d\x1e\x1f­", "    ")
     for p in VOLATILE:
-        out = F.regexp_replace(out, p, " ")
+        out = F.regexp_replace(out, f"(?U){p}", " ")
     return F.sha2(F.lower(collapse(out)), 256)
 
 

@@ -50,8 +50,11 @@ def content_duplicates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def semantic_digests(spark: SparkSession, d: str) -> DataFrame:
-    ascii_only = table(spark, d, "documents").where(F.octet_length("text") == F.length("text"))
-    return ascii_only.select("doc_id", ids.semantic_digest(F.col("text")).alias("digest"))
+    from .functions.udfs import nfkc
+
+    wide = F.octet_length("text") != F.length("text")
+    t = F.when(wide, nfkc(F.when(wide, F.col("text")))).otherwise(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", ids.semantic_digest(t).alias("digest"))
 
 
 def field_digests(spark: SparkSession, d: str) -> DataFrame:

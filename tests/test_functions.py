@@ -1,7 +1,9 @@
+import hashlib
 import uuid
 
 from pyspark.sql import functions as F
 
+from docketlake import queries
 from docketlake.functions import docket, ids, text
 from docketlake.operators import documents as ops
 
@@ -41,3 +43,11 @@ def test_merge_and_batches(spark):
     assert sorted((r["occurred_on"], r["chamber"]) for r in ops.merge_actions(a, "d").collect()) == [("2024-01-01", "upper"), ("2024-01-02", None)]
     b = ops.batches(spark.range(1003).toDF("k"), "k", 250).groupBy("batch").count().orderBy("batch").collect()
     assert [r["count"] for r in b] == [250, 250, 250, 250, 3]
+
+
+def test_semantic_digests_of_every_text(spark, tmp_path):
+    texts = ["Plain text, Printed on 3 May\nend", "École  ﬁn Printed on 3 mai\nsuite", "ein­zeln Straße\x1fÜber", "Été page ١ of ２ fin", "éprinted on x", "ÀÉ session_id = é1;x y", "", None]
+    want = ["plain text, end", "école fin suite", "einzeln straße über", "été fin", "éprinted on x", "àé y", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["digest"] for r in queries.semantic_digests(spark, str(tmp_path)).collect()}
+    assert got == {i: w if w is None else hashlib.sha256(w.encode()).hexdigest() for i, w in enumerate(want)}
