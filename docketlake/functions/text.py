@@ -58,13 +58,29 @@ def strip_line_numbers(text: Column) -> Column:
     return F.regexp_replace(text, r"(?m)^[ \t]{0,8}[0-9]{1,3}[ \t]{2,}", "")
 
 
-def strip_tags(html: Column) -> Column:
-    """Text of markup without scripts and styles; block ends become line ends. Entities are
-    left to udfs.unescape."""
+def strip_markup(html: Column) -> Column:
+    """Markup without scripts, styles and tags; block ends become line ends. Entities and white
+    space stay as they are."""
     t = F.regexp_replace(html, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", " ")
     t = F.regexp_replace(t, r"(?i)</?(?:p|div|br|li|tr|h[1-6]|table|section|article|ul|ol)\b[^>]*>", "\n")
-    t = F.regexp_replace(F.regexp_replace(t, r"<[^>]+>", " "), r"[ \t\x0B\f\r]+", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(t, r" ?\n ?", "\n"), r"\n{3,}", "\n\n"))
+    return F.regexp_replace(t, r"<[^>]+>", " ")
+
+
+def collapse_lines(text: Column) -> Column:
+    """Lines without white space at their ends, single spaces, one blank line at most."""
+    t = F.regexp_replace(text, r"\r\n|[\r\x0B\f\x1C-\x1E\x{85}\x{2028}\x{2029}]", "\n")
+    t = F.regexp_replace(t, r"[ \t\x{A0}\x{2007}\x{202F}]+", " ")
+    t = F.regexp_replace(t, r"(?U)[\s\x1F&&[^\n]]*\n[\s\x1F&&[^\n]]*", "\n")
+    return F.regexp_replace(F.regexp_replace(t, r"\n{3,}", "\n\n"), r"(?U)^[\s\x1F]+|[\s\x1F]+\z", "")
+
+
+def strip_tags(html: Column) -> Column:
+    """Text of markup without scripts and styles, entities replaced; block ends become line ends."""
+    from .udfs import unescape
+
+    t = strip_markup(html)
+    held = F.contains(t, F.lit("&"))
+    return collapse_lines(F.when(held, unescape(F.when(held, t))).otherwise(t))
 
 
 def content_kind(body: Column) -> Column:

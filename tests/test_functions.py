@@ -51,3 +51,8 @@ def test_semantic_digests_of_every_text(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: r["digest"] for r in queries.semantic_digests(spark, str(tmp_path)).collect()}
     assert got == {i: w if w is None else hashlib.sha256(w.encode()).hexdigest() for i, w in enumerate(want)}
+
+
+def test_strip_tags_replaces_entities(spark):
+    pages = ["<p>Fish &amp; chips&nbsp;&nbsp;&copy; 2024</p><p>a &lt;b&gt; c</p>", "<script>x &amp; y</script>one&#10;two&#xA0;\n<br>\n\n<br>three&middot;", "no markup", "", None]
+    assert column(spark, pages, text.strip_tags) == ["Fish & chips © 2024\n\na <b> c", "one\ntwo\n\nthree·", "no markup", "", None]
