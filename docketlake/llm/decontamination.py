@@ -2,9 +2,10 @@
 
 Numbers, names and units become typed placeholders, so a question whose figures or names were
 exchanged keeps its template. Template windows of the documents are hash-joined with those of
-the benchmark; for the pairs found, all windows are compared, and the values that stand in the
-placeholders must map one to one along each alignment. A document is contaminated by an item
-when consistent windows cover at least half of the item's windows.
+the benchmark at every place, and the values that stand in the placeholders must map one to
+one along each alignment. A document is contaminated by an item when consistent windows cover
+at least half of the item's windows. An item shorter than a window is one window of its own
+length.
 """
 
 from __future__ import annotations
@@ -15,9 +16,6 @@ from pyspark.sql import functions as F
 from .common import SPACE, kept_table, table
 
 WINDOW = 8
-#: Document windows start at every STRIDE-th word, so any run of WINDOW + STRIDE - 1 shared
-#: words holds one of them; pairs found that way are then compared at every place.
-STRIDE = 4
 #: Words of a window that must not be placeholders.
 LITERALS = 3
 COVERAGE = 0.5
@@ -39,12 +37,12 @@ def _split(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
-def _starts(n: Column, step: int) -> Column:
-    return F.when(n >= WINDOW, F.sequence(F.lit(0), n - WINDOW, F.lit(step))).otherwise(F.array().cast("array<int>"))
+def _starts(n: Column, size: Column) -> Column:
+    return F.when(n >= size, F.sequence(F.lit(0), n - size)).otherwise(F.array().cast("array<int>"))
 
 
-def _hash(t: Column, i: Column) -> Column:
-    return F.xxhash64(F.slice(t, i + 1, F.lit(WINDOW)))
+def _hashes(t: Column, size: int) -> Column:
+    return F.transform(_starts(F.size(t), F.lit(size)), lambda i: F.xxhash64(F.slice(t, i + 1, F.lit(size))))
 
 
 def _is_slot(w: Column) -> Column:
@@ -52,14 +50,15 @@ def _is_slot(w: Column) -> Column:
 
 
 def _item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, i, h, slots (place in the window and value of each placeholder)."""
+    """item_id, i, size, h, slots (place in the window and value of each placeholder)."""
     d = benchmark.where("item_id is not null").select("item_id", "text").distinct()
     d = d.select("item_id", _split(_plain(F.col("text"))).alias("_r"), _split(_template(_plain(F.col("text")))).alias("_t"))
-    d = d.select("item_id", "_r", "_t", F.explode(_starts(F.size("_t"), 1)).alias("i"))
-    t, r = F.slice("_t", F.col("i") + 1, F.lit(WINDOW)), F.slice("_r", F.col("i") + 1, F.lit(WINDOW))
-    d = d.select("item_id", "i", F.xxhash64(t).alias("h"), t.alias("_t"), r.alias("_r"))
+    d = d.withColumn("size", F.least(F.size("_t"), F.lit(WINDOW)))
+    d = d.select("item_id", "_r", "_t", "size", F.explode(_starts(F.size("_t"), F.col("size"))).alias("i"))
+    t, r = F.slice("_t", F.col("i") + 1, F.col("size")), F.slice("_r", F.col("i") + 1, F.col("size"))
+    d = d.select("item_id", "i", "size", F.xxhash64(t).alias("h"), t.alias("_t"), r.alias("_r"))
     d = d.where(F.size(F.filter("_t", lambda w: ~_is_slot(w))) >= LITERALS)
-    return d.select("item_id", "i", "h", _marks(F.col("_t"), F.col("_r")).alias("slots"))
+    return d.select("item_id", "i", "size", "h", _marks(F.col("_t"), F.col("_r")).alias("slots"))
 
 
 def _marks(t: Column, r: Column) -> Column:
@@ -71,24 +70,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """_row (a hash of doc_id and text), doc_id, item_id, n_windows, n_item_windows of the
     contaminated documents.
 
-    Null or short texts and items (fewer than WINDOW words) match nothing. Items that agree
-    are reported each. Rows with the same id and text give the same rows once; other rows
+    Null texts match nothing, nor do items without a window of LITERALS words that are no
+    placeholders. Items that agree are reported each. Rows with the same id and text give the same rows once; other rows
     with a repeated or null id are judged apart. Extra columns are ignored.
     """
     items = kept_table(_item_windows(benchmark), "items")
     sizes = items.groupBy("item_id").agg(F.countDistinct("i").alias("n_item_windows"))
     own = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_row"))
-    hashes = lambda step: F.transform(_starts(F.size("_t"), step), lambda i: _hash(F.col("_t"), i))
+    # at most WINDOW lengths, whatever the benchmark holds
+    lengths = sorted(r["size"] for r in items.select("size").distinct().collect()) or [WINDOW]
     t = own.select("_row", _split(_template(_plain(F.col("text")))).alias("_t"))
-    probes = t.select("_row", F.explode(hashes(STRIDE)).alias("h"))
+    probes = t.select("_row", F.explode(F.concat(*[_hashes(F.col("_t"), n) for n in lengths])).alias("h"))
     found = kept_table(probes.join(items.select("h").distinct(), "h", "left_semi").select("_row").distinct(), "found")
     again = own.join(found, "_row", "left_semi")
     ids = again.select("doc_id", "_row").distinct()
     # hashes and placeholders of a text, never a text or its words beside each window
     again = again.select("_row", _split(_plain(F.col("text"))).alias("_r"), _split(_template(_plain(F.col("text")))).alias("_t"))
-    again = kept_table(again.select("_row", hashes(1).alias("hs"), _marks(F.col("_t"), F.col("_r")).alias("marks")), "templates")
-    windows = again.select("_row", F.posexplode("hs").alias("at", "h"))
-    pairs = kept_table(windows.join(items, "h").select("_row", "item_id", F.col("i").alias("j"), "at", "slots").withColumn("shift", F.col("at") - F.col("j")), "pairs")
+    again = kept_table(again.select("_row", F.array(*[F.struct(F.lit(n).alias("size"), _hashes(F.col("_t"), n).alias("hs")) for n in lengths]).alias("all"), _marks(F.col("_t"), F.col("_r")).alias("marks")), "templates")
+    windows = again.select("_row", F.inline("all")).select("_row", "size", F.posexplode("hs").alias("at", "h"))
+    pairs = kept_table(windows.join(items, ["size", "h"]).select("_row", "item_id", F.col("i").alias("j"), "at", "slots").withColumn("shift", F.col("at") - F.col("j")), "pairs")
     asked = pairs.select("_row", "item_id", "shift", "at", F.inline("slots")).select("_row", "item_id", "shift", (F.col("at") + F.col("place")).alias("place"), F.col("value").alias("b")).distinct()
     values = asked.join(again.select("_row", F.inline("marks")).distinct(), ["_row", "place"]).groupBy("_row", "item_id", "shift", "b").agg((F.min("value") != F.max("value")).alias("clash"))
     clashing = values.where("clash").select("_row", "item_id", "shift").distinct()

@@ -149,3 +149,13 @@ def test_crf(docs, none):
     s = model.score([good[0], bad[0], "", "\n\n"])
     assert s[0] > 0.5 > s[1] and ((s >= 0) & (s <= 1)).all()
     assert quality_crf.score_documents(docs, model).count() == 13 and quality_crf.score_documents(none, model).count() == 0
+
+
+def test_leaks_at_every_place(spark):
+    words = "the slow river bends twice below an old mill".split()
+    items = {n: " ".join(words[:n]) for n in (3, 5, 8, 9)} | {2: "old mill", 10: "seven grey horses crossed that wide field before any rain"}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    rows = [(100 * n + k, " ".join(["filler"] * k + [items[n]] + ["more"] * 9)) for n in items for k in range(4)]
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(spark.createDataFrame([*rows, (7, "river bends")], "doc_id long, text string"), bench).collect()}
+    held = lambda n, k: {m for m in items if m > 2 and (items[m] in items[n] or (n, m) == (8, 9))}
+    assert got == {(100 * n + k, m) for n in items for k in range(4) for m in held(n, k)}
