@@ -30,15 +30,19 @@ def change_kind(found: Column, before: Column, after: Column, text_changed: Colu
 
 
 def findings(docs: DataFrame) -> DataFrame:
-    """check, severity, subject of every fault, from a single scan; duplicate ids apart."""
-    known = F.greatest("introduced_on", "last_action_on")
+    """check, severity, subject of every fault, from a single scan; duplicate ids and the empty
+    batch apart. last_acted_on and last_terminal_on are the latest dates of any action and of one
+    that implies a terminal status."""
+    latest = F.date_add(F.to_date("batch_observed"), 3)
+    wrong = lambda d: (F.col(d) > latest) | (F.col(d) < F.lit("1900-01-01").cast("date"))
     rows = [
         (F.length(F.coalesce("identifier", F.lit(""))) < 2, "identifier_present", "error"),
         (F.coalesce("title", F.lit("")) == "", "title_present", "error"),
         ((F.length("title") < 8) & (F.col("title") != ""), "title_present", "warn"),
-        (known > F.date_add(F.to_date("batch_observed"), 3), "dates_plausible", "error"),
-        (F.col("introduced_on") < F.lit("1900-01-01").cast("date"), "dates_plausible", "error"),
+        (wrong("introduced_on"), "dates_plausible", "error"),
+        (wrong("last_action_on"), "dates_plausible", "error"),
         (~F.col("status").isin("unknown", "prefiled") & (F.col("n_actions") == 0), "status_supported", "warn"),
+        (F.col("status").isin(*TERMINAL) & (F.col("n_actions") > 0) & (F.col("last_acted_on") > F.col("last_terminal_on")), "terminal_consistency", "warn"),
         ((F.col("chamber") == "unknown") & ~F.col("kind").isin("regulation", "notice"), "chamber_known", "warn"),
         (F.col("n_primary") > 1, "sponsor_sanity", "warn"),
         ((F.col("kind") == "bill") & (F.col("n_sponsors") == 0), "sponsor_sanity", "info"),
@@ -46,7 +50,9 @@ def findings(docs: DataFrame) -> DataFrame:
     found = F.array_compact(F.array(*[F.when(c, F.struct(F.lit(k).alias("check"), F.lit(s).alias("severity"))) for c, k, s in rows]))
     single = docs.select(F.col("document_id").alias("subject"), F.inline(found)).select("check", "severity", "subject")
     double = docs.groupBy(F.col("document_id").alias("subject")).count().where("count > 1").select(F.lit("no_duplicate_ids").alias("check"), F.lit("error").alias("severity"), "subject")
-    return single.unionByName(double)
+    nobody = F.lit(None).cast(docs.schema["document_id"].dataType).alias("subject")
+    empty = docs.agg(F.count("*").alias("n")).where("n = 0").select(F.lit("batch_not_empty").alias("check"), F.lit("info").alias("severity"), nobody)
+    return single.unionByName(double).unionByName(empty)
 
 
 def gate(found: DataFrame, documents: DataFrame, waived: tuple[str, ...] = (), max_errors: int = 0, max_rate: float = 0.0) -> DataFrame:

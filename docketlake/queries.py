@@ -122,7 +122,8 @@ def change_feed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _batch(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").select(F.col("o_orderkey").alias("document_id"), F.when(F.col("o_orderkey") % 11 == 0, "").otherwise(F.col("o_orderkey").cast("string")).alias("identifier"), F.when(F.col("o_orderkey") % 7 == 0, "").when(F.col("o_orderkey") % 5 == 0, "short").otherwise("A longer title").alias("title"), F.to_date("o_orderdate").alias("introduced_on"), F.to_date("o_orderdate").alias("last_action_on"), F.lit("1998-01-01").cast("timestamp").alias("batch_observed"), F.when(F.col("o_orderstatus") == "O", "unknown").otherwise("introduced").alias("status"), (F.col("o_orderkey") % 3).alias("n_actions"), F.when(F.col("o_orderstatus") == "P", "unknown").otherwise("upper").alias("chamber"), F.lit("bill").alias("kind"), (F.col("o_custkey") % 3).alias("n_primary"), (F.col("o_custkey") % 4).alias("n_sponsors"))
+    # no order has a terminal status, so none has a terminal action
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("document_id"), F.when(F.col("o_orderkey") % 11 == 0, "").otherwise(F.col("o_orderkey").cast("string")).alias("identifier"), F.when(F.col("o_orderkey") % 7 == 0, "").when(F.col("o_orderkey") % 5 == 0, "short").otherwise("A longer title").alias("title"), F.to_date("o_orderdate").alias("introduced_on"), F.to_date("o_orderdate").alias("last_action_on"), F.lit("1998-01-01").cast("timestamp").alias("batch_observed"), F.when(F.col("o_orderstatus") == "O", "unknown").otherwise("introduced").alias("status"), (F.col("o_orderkey") % 3).alias("n_actions"), F.to_date("o_orderdate").alias("last_acted_on"), F.lit(None).cast("date").alias("last_terminal_on"), F.when(F.col("o_orderstatus") == "P", "unknown").otherwise("upper").alias("chamber"), F.lit("bill").alias("kind"), (F.col("o_custkey") % 3).alias("n_primary"), (F.col("o_custkey") % 4).alias("n_sponsors"))
 
 
 def quality_findings(spark: SparkSession, d: str) -> DataFrame:

@@ -56,3 +56,21 @@ def test_semantic_digests_of_every_text(spark, tmp_path):
 def test_strip_tags_replaces_entities(spark):
     pages = ["<p>Fish &amp; chips&nbsp;&nbsp;&copy; 2024</p><p>a &lt;b&gt; c</p>", "<script>x &amp; y</script>one&#10;two&#xA0;\n<br>\n\n<br>three&middot;", "no markup", "", None]
     assert column(spark, pages, text.strip_tags) == ["Fish & chips © 2024\n\na <b> c", "one\ntwo\n\nthree·", "no markup", "", None]
+
+
+def test_findings_of_every_check(spark):
+    schema = "document_id long, identifier string, title string, introduced_on string, last_action_on string, batch_observed string, status string, n_actions int, last_acted_on string, last_terminal_on string, chamber string, kind string, n_primary int, n_sponsors int"
+
+    def row(i, introduced, last, status="introduced", acted=None, terminal=None):
+        return (i, "HB 1", "A longer title", introduced, last, "2024-01-01", status, 2, acted, terminal, "upper", "bill", 1, 1)
+
+    rows = [row(1, "2025-01-01", "2025-02-01"), row(2, None, "1850-01-01"), row(3, "2023-01-01", "2024-01-04"), row(4, None, None, "enacted", "2023-03-02", "2023-03-01"), row(5, None, None, "enacted", "2023-03-01", "2023-03-01"), row(6, None, None, "introduced", "2023-03-02", "2023-03-01"), row(7, "1850-01-01", "2025-02-01"), row(8, None, None, "enacted", "2023-03-02", None)]
+    docs = spark.createDataFrame(rows, schema)
+    for d in ("introduced_on", "last_action_on", "last_acted_on", "last_terminal_on"):
+        docs = docs.withColumn(d, F.col(d).cast("date"))
+    found = sorted((r["subject"], r["check"], r["severity"]) for r in ops.findings(docs).collect())
+    bad = ("dates_plausible", "error")
+    assert found == [(1, *bad), (1, *bad), (2, *bad), (4, "terminal_consistency", "warn"), (7, *bad), (7, *bad)]
+    none = docs.limit(0)
+    assert [tuple(r) for r in ops.findings(none).collect()] == [("batch_not_empty", "info", None)]
+    assert ops.gate(ops.findings(none), none).first()["info"] == 1
