@@ -5,7 +5,8 @@ Templates fall into classes by length. A document is cut into overlapping window
 that any stretch as long as a template of the class lies whole in one of them. Window and
 template meet when any of their band values agree. Bands have one row, and their number is
 set for each class so that a window holding SHARE of a template's five-word shingles is
-retrieved with probability of at least RECALL; exact shingle containment decides.
+retrieved with probability of at least RECALL; exact shingle containment decides. A template
+shorter than a shingle is one shingle of its own length, looked up at every place.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ TEMPLATES = {
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "under the terms of the GNU General Public License as published by the Free Software Foundation"],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0 license.", "This work is licensed under a Creative Commons Attribution 4.0 International License"],
+    "All-Rights-Reserved": ["All rights reserved."],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
 }
 
@@ -89,24 +91,43 @@ def _places(at: Column, c: int, n: int) -> Column:
     return F.transform(F.array_distinct(F.flatten(near)), lambda q: F.struct(F.lit(c).alias("c"), F.lit(n).alias("n"), (q * s).alias("start"), F.lit(length).alias("length")))
 
 
+def _short_places(w: Column, words: list[str]) -> Column:
+    """(c, n, start, length) of the places where a template shorter than a shingle stands."""
+    held = F.size(w) >= len(words)
+    for x in words:
+        held = held & F.array_contains(w, x)
+    at = F.sequence(F.lit(0), F.size(w) - len(words))
+
+    def same(i: Column) -> Column:
+        out = F.get(w, i) == words[0]
+        for k, x in enumerate(words[1:], 1):
+            out = out & (F.get(w, i + k) == x)
+        return out
+
+    place = lambda i: F.struct(F.lit(0).alias("c"), F.lit(1).alias("n"), i.alias("start"), F.lit(len(words)).alias("length"))
+    return F.when(held, F.transform(F.filter(at, same), place)).otherwise(F.array().cast("array<struct<c:int,n:int,start:int,length:int>>"))
+
+
 def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:
     """doc_id, license, containment (thousandths, highest), start_word (of the first such window).
 
     One row for each document and license found. Null, blank and short texts match nothing;
     rows with the same id and text give one row, other rows with a repeated or null id are
-    scanned apart. Templates need SHINGLE words. Extra columns are ignored.
+    scanned apart. Templates without words match nothing. Extra columns are ignored.
     """
     spark = docs.sparkSession
     known = [(name, t, _words_of(t)) for name, ts in (templates or TEMPLATES).items() for t in ts]
+    short = [(name, w) for name, _, w in known if 0 < len(w) < SHINGLE]
     known = [(name, t, w) for name, t, w in known if len(w) >= SHINGLE]
     classes: dict[int, list[int]] = {}
     for _, _, w in known:
         classes.setdefault(_class(len(w)), []).append(len(w))
     size = {c: bands(c, n) for c, n in classes.items()}
     pairs = _hitting([w[i : i + SHINGLE] for _, _, w in known for i in range(len(w) - SHINGLE + 1)])
-    hits, firsts = F.array(*map(F.lit, pairs)), F.array(*map(F.lit, sorted({p.split()[0] for p in pairs})))
-    rows = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(_class(len(w))).alias("c"), F.lit(size[_class(len(w))]).alias("n"), F.array(*[F.lit(x) for x in w]).alias("w")) for name, _, w in known])
-    bank = spark.range(1).select(F.inline(rows)).withColumn("t", _shingles(F.col("w")))
+    hits, firsts = (F.array(*map(F.lit, x)).cast("array<string>") for x in (pairs, sorted({p.split()[0] for p in pairs})))
+    bank_row = lambda name, c, n, w: F.struct(F.lit(name).alias("license"), F.lit(c).alias("c"), F.lit(n).alias("n"), F.array(*map(F.lit, w)).alias("w"))
+    rows = F.array(*[bank_row(name, 0, 1, w) for name, w in short], *[bank_row(name, _class(len(w)), size[_class(len(w))], w) for name, _, w in known])
+    bank = spark.range(1).select(F.inline(rows)).withColumn("t", F.when(F.col("c") == 0, F.array(F.concat_ws(" ", "w"))).otherwise(_shingles(F.col("w"))))
     bank = bank.select("license", "c", "t", F.inline(_band_rows(F.col("t"), F.col("n"))))
 
     # every shingle of a template holds a pair of the hitting set, so windows without one match
@@ -115,8 +136,9 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> Data
     d = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("_row"), w.alias("w"))
     is_hit = lambda x, i: F.when(F.array_contains(firsts, x), F.array_contains(hits, F.concat_ws(" ", x, F.get("w", i + 1))))
     d = d.withColumn("at", F.filter(F.transform("w", lambda x, i: F.when(is_hit(x, i), i)), lambda i: i.isNotNull()))
-    d = d.select("doc_id", "_row", "w", F.inline(F.concat(*[_places(F.col("at"), c, n) for c, n in size.items()])))
-    d = d.select("doc_id", "_row", "c", "n", "start", _shingles(F.slice("w", F.col("start") + 1, F.col("length"))).alias("s"))
+    d = d.select("doc_id", "_row", "w", F.inline(F.concat(*[_short_places(F.col("w"), x) for x in sorted({tuple(x) for _, x in short})], *[_places(F.col("at"), c, n) for c, n in size.items()])))
+    window = F.slice("w", F.col("start") + 1, F.col("length"))
+    d = d.select("doc_id", "_row", "c", "n", "start", F.when(F.col("c") == 0, F.array(F.concat_ws(" ", window))).otherwise(_shingles(window)).alias("s"))
     d = d.select("doc_id", "_row", "c", "start", "s", F.inline(_band_rows(F.col("s"), F.col("n"))))
     # the bank is bounded by the templates given, whatever the corpus holds
     found = d.join(F.broadcast(bank), ["c", "k", "v"]).select("doc_id", "_row", "license", "start", F.floor(1000 * F.size(F.array_intersect("s", "t")) / F.size("t")).alias("share")).where(F.col("share") >= int(1000 * SHARE))
