@@ -123,7 +123,8 @@ class PieceEncoder:
     A byte-level tokenizer never merges across a single space that stands between two other
     characters, so a text without doubled white space is the concatenation of its pieces.
     Words new to the cache go to the library joined into long lines: each of their first
-    tokens, and no other, begins with the mark of a space.
+    tokens, and no other, begins with the mark of a space. Texts that hold the content of an
+    added token are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -132,7 +133,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.dtype = "<u2" if size <= 1 << 16 else "<u4"
         self.starts = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
@@ -188,7 +189,8 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
-        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        column = pa.array(texts, pa.large_string())
+        split = pc.split_pattern(column, " ")
         coded = split.flatten().dictionary_encode()
         first = split.offsets.to_numpy()[:-1]
         names = coded.dictionary.to_pylist()
@@ -203,6 +205,8 @@ class PieceEncoder:
         self.heads.update(zip(fresh, self._store([self._raw(x) for x in fresh]), strict=True))
         slot[first] = [self.heads.get(x, -1) for x in head]
         whole = np.logical_and.reduceat(slot >= 0, first)
+        for token in self.added:
+            whole &= ~pc.match_substring(column, token).to_numpy(zero_copy_only=False)
         n = np.where(slot >= 0, self.length[slot], 0)
         at = np.arange(int(n.sum())) + np.repeat(self.start[slot] - (np.cumsum(n) - n), n)
         ids, sizes = self.ids[at], np.add.reduceat(n, first)
