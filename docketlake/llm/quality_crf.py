@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 
 from .common import kept_table, table
 
-#: Bounds of the fit: labelled documents, and lines of each that count there. Scoring has none.
+#: Bounds of the fit: labelled documents, and bytes and lines of all their texts, which are never
+#: cut; documents that no longer fit are left out. Scoring has none.
 TRAIN_DOCS = 3000
-TRAIN_LINES = 200
+TRAIN_BYTES = 32 << 20
+TRAIN_LINES = 400_000
 STEPS = 160
 CHUNK_BYTES = 3 << 20
 
@@ -148,7 +150,7 @@ def fit(texts: list[str], quality: np.ndarray, steps: int = STEPS) -> Model:
     if not len(texts) or len(set(quality.tolist())) < 2:  # nothing to tell apart: the base rate
         p = float(np.clip(quality.mean(), 0.05, 0.95)) if len(texts) else 0.5
         return Model(np.zeros(n_features), np.ones(n_features), np.zeros(n_features + 1), np.zeros((2, 2)), (0.0, float(np.log(p / (1 - p)))))
-    x, counts, size = line_features(["\n".join(t.split("\n")[:TRAIN_LINES]) for t in texts])
+    x, counts, size = line_features(texts)
     mean, sd = x.mean(0), x.std(0) + 1e-3
     z = np.concatenate([np.clip((x - mean) / sd, -6, 6), np.ones((len(x), 1))], axis=1)
     y = np.repeat(quality, counts).astype(np.float64)
@@ -190,8 +192,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -
     labelled both ways. An id that stands in several documents brings one of them."""
     agreed = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("_hi")).where("quality = _hi").drop("_hi")
     chosen = kept_table(agreed.where(~held_out()).orderBy(F.md5(F.col("doc_id").cast("string"))).limit(limit), "sample")
-    short = F.substring_index(F.coalesce(F.col("text"), F.lit("")), "\n", TRAIN_LINES)
-    rows = docs.select("doc_id", short.alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"))
+    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
+    rows = docs.select("doc_id", text).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"))
+    rows = kept_table(rows, "texts")
+    fit_in, n_bytes, n_lines = [], 0, 0
+    for r in rows.select("doc_id", F.octet_length("text").alias("b"), (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).alias("n")).orderBy(F.md5(F.col("doc_id").cast("string"))).collect():
+        if n_bytes + r["b"] <= TRAIN_BYTES and n_lines + r["n"] <= TRAIN_LINES:
+            fit_in.append(r["doc_id"])
+            n_bytes, n_lines = n_bytes + r["b"], n_lines + r["n"]
+    rows = rows.where(F.col("doc_id").isin(fit_in))
     got = sorted(rows.collect(), key=lambda r: zlib.crc32(str(r["doc_id"]).encode()))
     return [r["text"] for r in got], np.array([float(r["quality"] > 0) for r in got])
 
