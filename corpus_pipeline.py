@@ -49,7 +49,7 @@ STAGES = [
     ("token_output", tokens),
 ]
 
-#: The join and the token ids are beyond SQL; tests/llm holds the run against brute force.
+#: The join and the token ids are beyond SQL; tests/llm tests the operators, not this run.
 ORACLE_SQL = None
 
 
