@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -42,3 +43,25 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fresh(df: DataFrame, *wanted: str) -> list[str]:
+    """Names like the wanted ones that no column of ``df`` has, whatever its case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def trim() -> None:
+    """Gives freed memory of a Python worker back, so that idle workers weigh little."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library

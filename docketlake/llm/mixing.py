@@ -7,10 +7,10 @@ in every run and needs no state; the copies are then put in a global random orde
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import kept_table, table
+from .common import fresh, kept_table, table
 
 SEED = 17
 #: Default weights are document counts to this power: less than 1 lifts the smaller sources.
@@ -27,21 +27,19 @@ def _uniform(*parts: Column) -> Column:
     return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
-def poisson_count(u: Column, rate: Column) -> Column:
-    """The least k with P(X <= k) > u for X Poisson(rate).
+def poisson_tables(rates: DataFrame) -> DataFrame:
+    """``rates`` (_key, rate) with cdf: the values P(X <= k), k from 0, for X Poisson(rate).
 
-    Terms are kept as logarithms, so large rates do not underflow; the range is long enough
-    for any u of 52 bits.
+    Terms are summed as logarithms, so large rates do not underflow. A table ends where the rest
+    is below the resolution of a number of 52 bits, so its size follows the rate alone.
     """
-    top = F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
-    start = F.struct(F.lit(0).alias("k"), (-rate).alias("lp"), F.exp(-rate).alias("cdf"))
-
-    def step(a: Column, j: Column) -> Column:
-        more = a["cdf"] <= u
-        lp = a["lp"] + F.log(rate / j)
-        return F.when(more, F.struct((a["k"] + 1).alias("k"), lp.alias("lp"), (a["cdf"] + F.exp(lp)).alias("cdf"))).otherwise(a)
-
-    return F.when(rate > 0, F.aggregate(F.sequence(F.lit(1), top), start, step, lambda a: a["k"])).otherwise(F.lit(0))
+    top = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 30).cast("int")
+    rows = rates.where("rate > 0").select("_key", "rate", F.explode(F.sequence(F.lit(0), top)).alias("_k"))
+    upto = Window.partitionBy("_key").orderBy("_k")
+    term = F.exp(F.col("_k") * F.log("rate") - F.col("rate") - F.sum(F.log(F.greatest(F.col("_k"), F.lit(1)))).over(upto))
+    rows = rows.withColumn("_term", term).withColumn("_cdf", F.sum("_term").over(upto)).where("_term > 1e-18 or _cdf < 0.5")
+    cdf = F.transform(F.sort_array(F.collect_list(F.struct("_k", "_cdf"))), lambda x: x["_cdf"])
+    return rows.groupBy("_key").agg(F.first("rate").alias("rate"), cdf.alias("cdf"))
 
 
 def source_rates(docs: DataFrame, weights: DataFrame | None = None, size: float = 1.0) -> DataFrame:
@@ -53,8 +51,11 @@ def source_rates(docs: DataFrame, weights: DataFrame | None = None, size: float
     else:
         w = weights.groupBy(_key().alias("_key")).agg(F.sum("weight").alias("weight"))
         n = n.join(w, "_key", "left").withColumn("weight", F.greatest(F.lit(0.0), F.coalesce(F.col("weight"), F.lit(0.0))))
-    sums = n.agg(F.sum("weight").alias("_w"), F.sum("n").alias("_n"))
-    return n.join(sums).select("_key", F.when(F.col("_w") > 0, size * F.col("_n") * F.col("weight") / F.col("_w") / F.col("n")).otherwise(F.lit(0.0)).alias("rate"))
+    n = kept_table(n, "sources")
+    total = n.agg(F.sum("weight").alias("w"), F.sum("n").alias("n")).first()
+    if not total["w"]:
+        return n.select("_key", F.lit(0.0).alias("rate"))
+    return n.select("_key", (F.lit(float(size)) * F.lit(total["n"]) * F.col("weight") / F.lit(total["w"]) / F.col("n")).alias("rate"))
 
 
 def mix_sources(docs: DataFrame, weights: DataFrame | None = None, size: float = 1.0, seed: int = SEED, shuffle: bool = True) -> DataFrame:
@@ -62,18 +63,29 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, size: float =
 
     A null source is a source of its own. Rows that agree in doc_id and text draw the same
     count. Null ids and texts take part; an empty table gives an empty one. Columns named
-    copy or shuffle_key are replaced.
+    copy or shuffle_key are replaced; all others stay, whatever their names.
+
+    The shuffle keys are uniform, so equal ranges of them are equal shares: rows go straight to
+    their range and are sorted there, without the second pass that sampling ranges would take.
     """
-    # the table of rates is as small as the number of sources; read back from a file its size
-    # is known, so it is broadcast only while it is under Spark's threshold
-    rates = kept_table(source_rates(docs, weights, size), "rates")
+    # a table per source; read back from a file its size is known, so it is broadcast only while
+    # it is under Spark's threshold
+    tables = kept_table(poisson_tables(source_rates(docs, weights, size)), "rates")
+    docs = docs.drop("copy", "shuffle_key")
+    key, cdf, count = fresh(docs, "_key", "_cdf", "_count")
     u = _uniform(F.lit(seed), F.col("doc_id"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
-    d = docs.drop("copy", "shuffle_key").withColumn("_key", _key()).join(rates, "_key")
-    d = d.withColumn("_n", poisson_count(u, F.col("rate"))).where("_n > 0")
-    d = d.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_key", "rate", "_n")
-    key = F.md5(F.concat_ws(":", F.lit(seed + 1), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy")))
-    d = d.withColumn("shuffle_key", key)
-    return d.orderBy("shuffle_key") if shuffle else d
+    d = docs.withColumn(key, _key()).join(tables.select(F.col("_key").alias(key), F.col("cdf").alias(cdf)), key)
+    # the least k with P(X <= k) > u
+    d = d.withColumn(count, F.array_repeat(F.lit(0), F.size(F.filter(cdf, lambda c: c <= u))))
+    d = d.select(*docs.columns, F.posexplode(count).alias(key, cdf))
+    d = d.select(*docs.columns, (F.col(key) + 1).alias("copy"))
+    name = F.concat_ws(":", F.lit(seed + 1), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy"))
+    d = d.withColumn("shuffle_key", F.md5(name))
+    if not shuffle:
+        return d
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("long") * parts / F.lit(1 << 32)
+    return d.repartitionById(parts, F.floor(share).cast("int")).sortWithinPartitions("shuffle_key")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
