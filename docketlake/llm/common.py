@@ -56,6 +56,20 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+#: Bits of a sieve: 2 MB of data, whatever goes through it.
+SIEVE_BITS = 1 << 24
+
+
+def sieved(df: DataFrame, name: str, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose long column ``name`` may be among the column ``key`` of ``keys``:
+    all that are, and others by chance. A join on the column must follow; it then moves few
+    rows. The table of bits is broadcast, and its size is fixed."""
+    place = F.pmod(F.col(name), F.lit(SIEVE_BITS)).cast("int")
+    bits = keys.select(F.pmod("key", F.lit(SIEVE_BITS)).cast("int").alias("_p")).groupBy(F.shiftright("_p", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, _p & 63)")).alias("_bits"))
+    d = df.withColumn("_p", place).withColumn("_word", F.shiftright("_p", 6)).join(F.broadcast(bits), "_word")
+    return d.where("(_bits & shiftleft(1L, _p & 63)) <> 0").select(*df.columns)
+
+
 def trim() -> None:
     """Gives freed memory of a Python worker back, so that idle workers weigh little."""
     import pyarrow as pa
