@@ -75,8 +75,10 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, size: float =
     key, cdf, count = fresh(docs, "_key", "_cdf", "_count")
     u = _uniform(F.lit(seed), F.col("doc_id"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
     d = docs.withColumn(key, _key()).join(tables.select(F.col("_key").alias(key), F.col("cdf").alias(cdf)), key)
-    # the least k with P(X <= k) > u
-    d = d.withColumn(count, F.array_repeat(F.lit(0), F.size(F.filter(cdf, lambda c: c <= u))))
+    # the least k with P(X <= k) > u; u is taken once, not at each step
+    start = F.struct(u.alias("u"), F.lit(0).alias("k"))
+    k = F.aggregate(cdf, start, lambda a, c: F.struct(a["u"].alias("u"), (a["k"] + F.when(c <= a["u"], 1).otherwise(0)).alias("k")), lambda a: a["k"])
+    d = d.withColumn(count, F.array_repeat(F.lit(0), k))
     d = d.select(*docs.columns, F.posexplode(count).alias(key, cdf))
     d = d.select(*docs.columns, (F.col(key) + 1).alias("copy"))
     name = F.concat_ws(":", F.lit(seed + 1), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy"))
