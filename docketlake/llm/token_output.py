@@ -25,15 +25,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_folder, table
+from .common import shared_folder, table, trim
 
 MAGIC = b"DKTTOK01"
 END_ID = 2
 SHARD_BYTES = 32 << 20
-#: Entries of a worker's cache of encoded pieces; it is emptied when full.
+#: Bounds of a worker's cache of encoded pieces; it is emptied when full.
 CACHE_PIECES = 1_000_000
+CACHE_BYTES = 48 << 20
 ENCODE_CHARS = 4 << 20
+LINE_PIECES = 1000
+#: Documents whose boundaries are selected at a time when a shard is read.
+READ_DOCS = 1 << 14
 SAMPLE = 256
+BLOCK_SHARDS = 4096
+NO_ID = -(1 << 63)
 _POP = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.int64)
 _NTH = np.full((256, 8), 8, dtype=np.int64)  # place of the k-th set bit of a byte, lowest first
 for _b in range(256):
@@ -122,13 +128,13 @@ class PieceEncoder:
 
     A byte-level tokenizer never merges across a single space that stands between two other
     characters, so a text without doubled white space is the concatenation of its pieces.
-    Words new to the cache go to the library joined into long lines: each of their first
+    Pieces new to the cache go to the library joined into long lines: each of their first
     tokens, and no other, begins with the mark of a space. Texts that hold the content of an
-    added token are encoded whole.
+    added token, or white space that borders on a space, are encoded whole. The cache is Arrow
+    data without Python objects and is emptied when it would pass CACHE_PIECES or CACHE_BYTES.
     """
 
     def __init__(self, path: str):
-        import public_tokenizers
         import regex
         from tokenizers import Tokenizer
 
@@ -137,55 +143,31 @@ class PieceEncoder:
         size = self.tokenizer.get_vocab_size()
         self.dtype = "<u2" if size <= 1 << 16 else "<u4"
         self.starts = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
-        self.find = regex.compile(public_tokenizers.PATTERN).findall
-        self.plain = regex.compile(r" \p{L}+").fullmatch
-        self.odd = regex.compile(r"^$|^\s|\s$").search
-        self.tokens: dict[str, bytes] = {}
+        self.odd = regex.compile(r"^$|^[\s\p{Z}\p{C}]|[\s\p{Z}\p{C}]$").search
         self._clear()
 
     def _clear(self) -> None:
-        self.slots: dict[str, int] = {}  # keyed without the space that leads a piece
-        self.heads: dict[str, int] = {}  # first pieces of texts, which have none
-        self.ids = np.zeros(1 << 20, dtype=self.dtype)
-        self.start, self.length = np.zeros(1 << 18, dtype=np.int64), np.zeros(1 << 18, dtype=np.int64)
-        self.used = self.count = 0
-
-    def _raw(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-
-    def _store(self, blobs: list[bytes]) -> range:
-        """Slots of the given ids in the flat array."""
-        n = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // self.ids.itemsize
-        while self.used + int(n.sum()) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while self.count + len(n) > len(self.start):
-            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
-        flat = np.frombuffer(b"".join(blobs), self.dtype)
-        self.ids[self.used : self.used + len(flat)] = flat
-        new = range(self.count, self.count + len(n))
-        self.start[new.start : new.stop] = self.used + np.cumsum(n) - n
-        self.length[new.start : new.stop] = n
-        self.used += len(flat)
-        self.count += len(n)
-        return new
-
-    def _learn(self, missing: list[str]) -> None:
-        if len(self.tokens) > CACHE_PIECES // 2:
-            self.tokens = {}
-        find, plain, tokens = self.find, self.plain, self.tokens
-        parts = [find(" " + p) for p in missing]
-        new = {x for xs in parts for x in xs if x not in tokens}
-        words = [x for x in new if plain(x)]
-        for a in range(0, len(words), 4000):
-            line = words[a : a + 4000]
-            ids = np.array(self.tokenizer.encode("".join(line), add_special_tokens=False).ids, self.dtype)
-            cuts = np.flatnonzero(self.starts[ids]) * ids.itemsize
-            if len(cuts) == len(line):
-                raw, ends = ids.tobytes(), [*cuts[1:].tolist(), ids.nbytes]
-                tokens.update({w: raw[x:y] for w, x, y in zip(line, cuts.tolist(), ends, strict=True)})
-        for x in new - tokens.keys():
-            tokens[x] = self._raw(x)
-        self.slots.update(zip(missing, self._store([tokens[xs[0]] if len(xs) == 1 else b"".join([tokens[x] for x in xs]) for xs in parts]), strict=True))
+        self.known = pa.array([], pa.large_string())  # without the space that leads a piece
+        self.ids = np.zeros(0, dtype=self.dtype)
+        self.start, self.length = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def _lists(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, number of ids of each), each piece led by a space."""
+        lines = [pieces[a : a + LINE_PIECES] for a in range(0, len(pieces), LINE_PIECES)]
+        ids, sizes = [], []
+        for line, got in zip(lines, self._lists([" " + " ".join(x) for x in lines]), strict=True):
+            cuts = np.flatnonzero(self.starts[got])
+            if len(cuts) == len(line) and cuts[0] == 0:
+                ids.append(got)
+                sizes.append(np.diff(np.r_[cuts, len(got)]))
+            else:  # a token of this vocabulary breaks the rule: one by one
+                apart = self._lists([" " + x for x in line])
+                ids += apart
+                sizes.append(np.array([len(x) for x in apart], dtype=np.int64))
+        return (np.concatenate(ids), np.concatenate(sizes)) if ids else (np.zeros(0, self.dtype), np.zeros(0, np.int64))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
@@ -193,29 +175,43 @@ class PieceEncoder:
         split = pc.split_pattern(column, " ")
         coded = split.flatten().dictionary_encode()
         first = split.offsets.to_numpy()[:-1]
-        names = coded.dictionary.to_pylist()
-        if self.count + len(names) > CACHE_PIECES:
+        names = coded.dictionary
+        if len(self.known) + len(names) > CACHE_PIECES or self.known.nbytes + names.nbytes > CACHE_BYTES:
             self._clear()
+        slot_of = pc.fill_null(pc.index_in(names, value_set=self.known), -1).to_numpy().astype(np.int64)
         # a piece that is empty or borders on more white space gets no slot
-        missing = [p for p in names if p not in self.slots and not self.odd(p)]
-        self._learn(missing)
-        slot = np.fromiter((self.slots.get(p, -1) for p in names), dtype=np.int64, count=len(names))[coded.indices.to_numpy()]
+        unknown = np.flatnonzero(slot_of < 0)
+        fresh = [x if not self.odd(x) else None for x in names.take(pa.array(unknown)).to_pylist()]
+        taken = unknown[[x is not None for x in fresh]] if len(unknown) else unknown
+        ids, n = self._encoded([x for x in fresh if x is not None])
+        slot_of[taken] = len(self.start) + np.arange(len(taken))
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(n) - n])
+        self.length = np.concatenate([self.length, n])
+        self.ids = np.concatenate([self.ids, ids])
+        self.known = pa.concat_arrays([self.known, names.take(pa.array(taken))])
+        slot = slot_of[coded.indices.to_numpy()]
+        # first pieces have no space before them: encoded for this batch alone
         head = [x.split(" ", 1)[0] for x in texts]
-        fresh = [x for x in dict.fromkeys(head) if x not in self.heads and not self.odd(x)]
-        self.heads.update(zip(fresh, self._store([self._raw(x) for x in fresh]), strict=True))
-        slot[first] = [self.heads.get(x, -1) for x in head]
+        heads = {x: i for i, x in enumerate(dict.fromkeys(x for x in head if not self.odd(x)))}
+        lists = self._lists(list(heads))
+        sizes = np.array([len(x) for x in lists], dtype=np.int64)
+        start = np.concatenate([self.start, len(self.ids) + np.cumsum(sizes) - sizes, [0]])
+        length = np.concatenate([self.length, sizes, [0]])
+        flat = np.concatenate([self.ids, *lists])
+        slot[first] = [heads.get(x, -1 - len(self.start)) + len(self.start) for x in head]
         whole = np.logical_and.reduceat(slot >= 0, first)
         for token in self.added:
             whole &= ~pc.match_substring(column, token).to_numpy(zero_copy_only=False)
-        n = np.where(slot >= 0, self.length[slot], 0)
-        at = np.arange(int(n.sum())) + np.repeat(self.start[slot] - (np.cumsum(n) - n), n)
-        ids, sizes = self.ids[at], np.add.reduceat(n, first)
+        n = np.where(slot >= 0, length[slot], 0)
+        at = np.arange(int(n.sum())) + np.repeat(start[slot] - (np.cumsum(n) - n), n)
+        out, sizes = flat[at], np.add.reduceat(n, first)
         if not whole.all():
-            parts = np.split(ids, np.cumsum(sizes)[:-1])
-            for i in np.flatnonzero(~whole).tolist():
-                parts[i] = np.frombuffer(self._raw(texts[i]), self.dtype)
-            ids, sizes = np.concatenate(parts), np.array([len(x) for x in parts], dtype=np.int64)
-        return ids, sizes
+            parts = np.split(out, np.cumsum(sizes)[:-1])
+            again = np.flatnonzero(~whole).tolist()
+            for i, got in zip(again, self._lists([texts[i] for i in again]), strict=True):
+                parts[i] = got
+            out, sizes = np.concatenate(parts), np.array([len(x) for x in parts], dtype=np.int64)
+        return out, sizes
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -234,20 +230,39 @@ def _open(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def _id_keys(column: pa.Array) -> np.ndarray:
+    """Ids as unsigned numbers in their order, with 0 for null (and for the least long, which
+    is read back as null)."""
+    ids = column.fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
+    return ids.view(np.uint64) ^ np.uint64(1 << 63)
+
+
+def _pack_ids(keys: np.ndarray, ordered: bool) -> bytes:
+    """Ascending ids as an Elias-Fano sequence over the least one; others as they are."""
+    if not ordered:
+        return keys.astype("<u8").tobytes()
+    nulls = int(np.searchsorted(keys, 1))
+    base = int(keys[nulls]) if nulls < len(keys) else 0
+    return struct.pack("<QQ", nulls, base) + EliasFano.build(keys[nulls:] - np.uint64(base)).to_bytes()
+
+
+def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES, ordered: bool = True) -> DataFrame:
     """Encode every text and write shard files; returns the manifest (shard, path, n_docs, n_ids).
 
-    Documents are dealt out by ranges of (doc_id, hash of the text), so that neither a null
-    nor a repeated ``doc_id`` gathers in one task. Null texts count as empty; null ids come
-    first; rows with the same id keep the order of their texts' hashes. Extra columns are
-    ignored. An empty table makes no shard.
+    Documents are dealt out by ranges of (doc_id, hash of the text, place in the input), so that
+    neither a null nor a repeated ``doc_id`` nor a repeated row gathers in one task. Null texts
+    count as empty; null ids come first; rows with the same id keep the order of their texts'
+    hashes. Extra columns are ignored. An empty table makes no shard. With ``ordered`` false
+    nothing moves: each partition of ``docs`` becomes a shard, in the order of its rows, so that
+    a corpus that was shuffled before stays shuffled.
     """
     spark = docs.sparkSession
-    text = F.coalesce(F.col("text"), F.lit(""))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("_h"))
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-total // shard_bytes))
-    own = own.repartitionByRange(int(parts), "doc_id", "_h").sortWithinPartitions(F.asc_nulls_first("doc_id"), "_h").select("doc_id", "text")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    if ordered:
+        total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        parts = max(1, -(-total // shard_bytes))
+        own = own.select("*", F.xxhash64("text").alias("_h"), F.monotonically_increasing_id().alias("_u"))
+        own = own.repartitionByRange(int(parts), "doc_id", "_h", "_u").sortWithinPartitions(F.asc_nulls_first("doc_id"), "_h").select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
@@ -255,16 +270,15 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
         filesystem, root = _open(folder)
         filesystem.create_dir(root)
         path = f"{root}/shard-{shard:06d}.tok"
-        stream, part, nulls = None, f"{path}.{TaskContext.get().taskAttemptId()}", 0
-        lengths: list[int] = []
-        ids: list[int] = []
+        stream, part = None, f"{path}.{TaskContext.get().taskAttemptId()}"
+        lengths: list[np.ndarray] = []
+        ids: list[np.ndarray] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
             stream = stream or filesystem.open_output_stream(part)
             texts = batch.column(1).to_pylist()
-            nulls += batch.column(0).null_count
-            ids += [x for x in batch.column(0).to_pylist() if x is not None]
+            ids.append(_id_keys(batch.column(0)))
             a = 0
             while a < len(texts):
                 b, size = a, 0
@@ -273,20 +287,21 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
                     b += 1
                 coded, n = encoder.encode(texts[a:b])
                 stream.write(np.insert(coded, np.cumsum(n), end_id).tobytes())
-                lengths += (n + 1).tolist()
+                lengths.append(n + 1)
                 a = b
+            trim()
         if stream is None:
             return
-        offsets = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64))])
-        n_ids = int(offsets[-1])
-        base = min(ids, default=0)
+        offsets = np.concatenate([[0], *lengths]).astype(np.int64).cumsum()
+        n_docs, n_ids = len(offsets) - 1, int(offsets[-1])
         bounds = EliasFano.build(offsets).to_bytes()
-        keys = EliasFano.build(np.array(ids, np.int64).astype(np.uint64) - np.array([base], np.int64).astype(np.uint64)).to_bytes()
-        footer = json.dumps({"dtype": encoder.dtype, "n_docs": len(lengths), "n_ids": n_ids, "bounds": len(bounds), "keys": len(keys), "nulls": nulls, "base": base}).encode()
+        keys = _pack_ids(np.concatenate(ids), ordered)
+        footer = json.dumps({"dtype": encoder.dtype, "n_docs": n_docs, "n_ids": n_ids, "bounds": len(bounds), "keys": len(keys), "ordered": ordered}).encode()
         stream.write(bounds + keys + footer + struct.pack("<I", len(footer)) + MAGIC)
         stream.close()
         filesystem.move(part, path)  # a file with the final name is always whole
-        yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [f"{folder}/shard-{shard:06d}.tok"], "n_docs": [len(lengths)], "n_ids": [n_ids]}, schema=pa.schema([("shard", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
+        trim()
+        yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [f"{folder}/shard-{shard:06d}.tok"], "n_docs": [n_docs], "n_ids": [n_ids]}, schema=pa.schema([("shard", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
     manifest = own.mapInArrow(write, "shard long, path string, n_docs long, n_ids long")
     manifest.write.parquet(f"{folder}/manifest")
@@ -306,48 +321,70 @@ class Shard:
         n = struct.unpack("<I", tail[:4])[0]
         self.meta = json.loads(self.file.read_at(n, size - 12 - n))
         at = size - 12 - n - self.meta["keys"]
-        self.keys = EliasFano.from_bytes(self.file.read_at(self.meta["keys"], at))
+        keys = self.file.read_at(self.meta["keys"], at)
         self.bounds = EliasFano.from_bytes(self.file.read_at(self.meta["bounds"], at - self.meta["bounds"]))
         self.dtype = np.dtype(self.meta["dtype"])
-
-    def doc_ids(self) -> list[int | None]:
-        keys = self.keys.select(np.arange(len(self.keys))) + np.array([self.meta["base"]], np.int64).astype(np.uint64)
-        return [None] * self.meta["nulls"] + keys.astype(np.int64).tolist()
+        self._nulls, self._base, self._keys = 0, 0, keys
+        if self.meta["ordered"]:
+            self._nulls, self._base = struct.unpack_from("<QQ", keys)
+            self._keys = EliasFano.from_bytes(keys[16:])
+
+    def doc_ids(self, a: int, b: int) -> pa.Array:
+        """Ids of the documents from place a up to place b."""
+        if self.meta["ordered"]:
+            at = np.arange(a, b) - self._nulls
+            keys = np.zeros(b - a, dtype=np.uint64)
+            if (at >= 0).any():
+                keys[at >= 0] = self._keys.select(at[at >= 0]) + np.uint64(self._base)
+        else:
+            keys = np.frombuffer(self._keys, "<u8", b - a, a * 8)
+        return pa.array((keys ^ np.uint64(1 << 63)).view(np.int64), pa.int64(), mask=keys == 0)
 
     def ids(self, start: int, stop: int) -> np.ndarray:
         k = self.dtype.itemsize
         return np.frombuffer(self.file.read_at((stop - start) * k, start * k), self.dtype)
 
 
+def _bases(manifest: DataFrame) -> DataFrame:
+    """path and the number of ids in all shards before it: sums of blocks of shards, then sums
+    within each block, so that no task takes the whole manifest."""
+    m = manifest.withColumn("block", F.floor(F.col("shard") / BLOCK_SHARDS))
+    blocks = m.groupBy("block").agg(F.sum("n_ids").alias("ids"))
+    blocks = blocks.select("block", (F.sum("ids").over(Window.orderBy("block")) - F.col("ids")).alias("before"))
+    within = F.sum("n_ids").over(Window.partitionBy("block").orderBy("shard")) - F.col("n_ids")
+    return m.withColumn("within", within).join(blocks, "block").select("path", (F.col("before") + F.col("within")).alias("base"))
+
+
 def read_shards(manifest: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, from the files."""
-    starts = manifest.select("path", (F.sum("n_ids").over(Window.orderBy("shard")) - F.col("n_ids")).alias("base"))
     n = manifest.sparkSession.sparkContext.defaultParallelism * 2
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 shard = Shard(path)
-                bounds = shard.bounds.select(np.arange(shard.meta["n_docs"] + 1)).astype(np.int64)
-                crcs, keys, a = [], shard.doc_ids(), 0
-                while a < len(keys):  # about 4 MB of ids at a time
-                    b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + (1 << 20), side="right")) - 1)
-                    ids = shard.ids(int(bounds[a]), int(bounds[b])).astype("<u4")
-                    cuts = (bounds[a : b + 1] - bounds[a]).tolist()
-                    crcs += [zlib.crc32(ids[x:y]) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-                    a = b
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(keys, pa.int64()), "start": pa.array(bounds[:-1] + base, pa.int64()), "n_tokens": pa.array(np.diff(bounds), pa.int64()), "ids_crc32": pa.array(crcs, pa.int64())})
-
-    return starts.repartition(n).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
-
-
-def token_output(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, folder: str | None = None) -> DataFrame:
+                for first in range(0, shard.meta["n_docs"], READ_DOCS):
+                    last = min(first + READ_DOCS, shard.meta["n_docs"])
+                    bounds = shard.bounds.select(np.arange(first, last + 1)).astype(np.int64)
+                    crcs, a = [], 0
+                    while a < last - first:  # about 4 MB of ids at a time
+                        b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + (1 << 20), side="right")) - 1)
+                        ids = shard.ids(int(bounds[a]), int(bounds[b])).astype("<u4")
+                        cuts = (bounds[a : b + 1] - bounds[a]).tolist()
+                        crcs += [zlib.crc32(ids[x:y]) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+                        a = b
+                    yield pa.RecordBatch.from_pydict({"doc_id": shard.doc_ids(first, last), "start": pa.array(bounds[:-1] + base, pa.int64()), "n_tokens": pa.array(np.diff(bounds), pa.int64()), "ids_crc32": pa.array(crcs, pa.int64())})
+
+    return _bases(manifest).repartition(n).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+def token_output(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, folder: str | None = None, ordered: bool = True) -> DataFrame:
     """Write the shards of ``docs`` and return what the files say of each document."""
     if tokenizer is None:
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    return read_shards(write_shards(docs, folder or shared_folder(spark, "tokens"), tokenizer))
+    return read_shards(write_shards(docs, folder or shared_folder(spark, "tokens"), tokenizer, ordered=ordered))
 
 
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
