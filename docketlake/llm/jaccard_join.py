@@ -12,8 +12,9 @@ split by size at a boundary chosen by cost:
 
 Sets near the boundary do both. In every list, sets are first compared with one pivot; then
 only sets that are still in different components are compared, so a group of near copies costs
-as many comparisons as it has sets. Comparisons are exact intersections. Shingles and sets are
-known by 64-bit hashes.
+a few comparisons for each set. Comparisons are exact intersections. Shingles are known by
+64-bit hashes, which two sets that are compared would have to share by chance; sets whose 64-bit
+names agree are told apart by a second hash.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import kept_table, table
+from .common import fresh, kept_table, sieved, table, trim
 from .substring_dedup import _combined, hashed
 from .superkmers import NO_ID, mix
 
@@ -38,8 +39,9 @@ _RATIO = 1.25
 #: A posting costs as many comparisons as its list has sets, up to this: longer lists are
 #: settled by their pivot.
 SCAN = 16
-#: Turns of comparing lists with one pivot each before all open pairs are compared.
-TURNS = 4
+#: Open lists are compared with one pivot each, at least so many turns, until what is left open
+#: takes no more comparisons than there are postings, or a turn leaves more than this share open.
+LEAST_TURNS, GAIN = 2, 0.75
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -53,11 +55,26 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(_combined(h, SHINGLE) if len(h) >= SHINGLE else _combined(h ^ np.uint64(len(h)), len(h)))
 
 
-def _set_id(s: np.ndarray) -> int:
+def _set_ids(s: np.ndarray, bits: int = 64) -> tuple[int, int]:
+    """Two independent names of a set; the first is cut to ``bits``."""
     if not len(s):
-        return 0
+        return 0, 0
     i = mix(s ^ _SALT) * (np.arange(len(s), dtype=np.uint64) * np.uint64(2) + np.uint64(1))
-    return int(mix(np.array([i.sum(dtype=np.uint64) ^ np.uint64(len(s))], dtype=np.uint64)).view(np.int64)[0])
+    j = mix(s + _SALT) * (np.arange(len(s), dtype=np.uint64) * np.uint64(2) + np.uint64(3))
+    one, two = mix(np.array([i.sum(dtype=np.uint64) ^ np.uint64(len(s)), j.sum(dtype=np.uint64)], dtype=np.uint64))
+    return int((one >> np.uint64(64 - bits)).view(np.int64)), int(two.view(np.int64))
+
+
+class Names:
+    """Names of sets: the first hash, or the second for the few sets whose first hash is that of
+    another set as well (about n^2 / 2^65 of n sets)."""
+
+    def __init__(self, bits: int = 64, taken: frozenset[tuple[int, int]] = frozenset()):
+        self.bits, self.taken = bits, taken
+
+    def __call__(self, s: np.ndarray) -> int:
+        ids = _set_ids(s, self.bits)
+        return ids[ids in self.taken]
 
 
 def _need(n: int) -> int:
@@ -70,38 +87,58 @@ def _prefix(n: int) -> int:
     return min(n, n - _need(n) + EXTRA)
 
 
-def features(own: DataFrame) -> DataFrame:
+def features(own: DataFrame, bits: int = 64) -> tuple[DataFrame, Names]:
+    """_d, _h, sid, n of every document, and how sets are named."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t.as_py()) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([_set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())], ["_d", "_h", "sid", "n"])
+            ids = [_set_ids(s, bits) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(x, pa.int64()) for x in ([i for i, _ in ids], [j for _, j in ids], [len(s) for s in sets])]], ["_d", "_h", "sid", "check", "n"])
+            trim()
+
+    found = kept_table(own.select("_d", "_h", "_text").mapInArrow(run, "_d long, _h long, sid long, check long, n long"), "features")
+    twice = found.where("n > 0").groupBy("sid").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).where("lo <> hi")
+    taken = found.where("n > 0").join(twice, "sid").where("check <> lo").select("sid", "check").distinct().collect()
+    if taken:
+        renamed = spark_rows(found.sparkSession, taken)
+        found = found.join(renamed, ["sid", "check"], "left").withColumn("sid", F.when(F.col("_taken"), F.col("check")).otherwise(F.col("sid"))).drop("_taken")
+    return found.drop("check"), Names(bits, frozenset((r["sid"], r["check"]) for r in taken))
+
+
+def spark_rows(spark: SparkSession, taken: list) -> DataFrame:
+    return spark.createDataFrame([(r["sid"], r["check"], True) for r in taken], "sid long, check long, _taken boolean")
+
 
-    return own.select("_d", "_h", "_text").mapInArrow(run, "_d long, _h long, sid long, n long")
+def _cuts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of equal values."""
+    cut = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, int)
+    return cut, np.r_[cut[1:], len(x)][: len(cut)]
 
 
-def _postings(own: DataFrame, buckets: int, prefix: bool) -> DataFrame:
-    """bucket, n, packed (hashes, then ids of sets, 8 bytes each)."""
+def _postings(own: DataFrame, buckets: int, name: Names, prefix: bool) -> DataFrame:
+    """bucket, packed: hashes, ids of sets and, without prefix, sizes of sets. Of a prefix only
+    half of each hash goes, as its test may find too much but never too little."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hs: list[np.ndarray] = []
-        ids: list[int] = []
+        ids: list[tuple[int, int]] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
             h = np.concatenate(hs)
-            who = np.repeat(np.array(ids, dtype=np.int64), [len(x) for x in hs])
-            b = (mix(h) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(b, kind="stable")
-            h, who, b = h[order], who[order], b[order]
-            cut = np.flatnonzero(np.r_[True, b[1:] != b[:-1]])
-            end = np.r_[cut[1:], len(b)]
-            return pa.RecordBatch.from_arrays([pa.array(b[cut]), pa.array([h[x:y].tobytes() + who[x:y].tobytes() for x, y in zip(cut, end, strict=True)], pa.binary())], ["bucket", "packed"])
+            times = [len(x) for x in hs]
+            parts = [np.repeat(np.array(ids, dtype=np.int64)[:, 0], times)]
+            if not prefix:
+                parts.append(np.repeat(np.array(ids, dtype=np.int64)[:, 1], times).astype(np.int32))
+            bucket = (mix(h) % np.uint64(buckets)).astype(np.int64)
+            return _packed(bucket, [(h >> np.uint64(32)).astype(np.uint32) if prefix else h, *parts])
 
         for batch in batches:
             for t in batch.column(0):
                 s = shingles(t.as_py())
                 if len(s) > 1:
-                    ids.append(_set_id(s))
+                    ids.append((name(s), len(s)))
                     hs.append(s[: _prefix(len(s))] if prefix else s)
                     size += len(hs[-1])
                 if size > FLUSH:
@@ -109,75 +146,119 @@ def _postings(own: DataFrame, buckets: int, prefix: bool) -> DataFrame:
                     hs, ids, size = [], [], 0
         if hs:
             yield flush()
+        trim()
 
     return own.select("_text").mapInArrow(run, "bucket long, packed binary")
 
 
-def _by_bucket(postings: DataFrame, work, schema: str) -> DataFrame:
-    """work(hashes, sets) on each whole bucket: distinct postings of shingles in several sets."""
+def _unpacked(held: list[bytes], kinds: list) -> list[np.ndarray]:
+    width = sum(np.dtype(k).itemsize for k in kinds)
+    out = []
+    for i, k in enumerate(kinds):
+        before = sum(np.dtype(x).itemsize for x in kinds[:i])
+        out.append(np.concatenate([np.frombuffer(x, k, len(x) // width, before * (len(x) // width)) for x in held]))
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[bytes] = []
-        last = None
 
-        def done() -> pa.RecordBatch:
-            h = np.concatenate([np.frombuffer(x, np.uint64, len(x) // 16) for x in held])
-            who = np.concatenate([np.frombuffer(x, np.int64, len(x) // 16, len(x) // 2) for x in held])
-            order = np.lexsort((who, h))
-            h, who = h[order], who[order]
-            fresh = np.r_[True, (h[1:] != h[:-1]) | (who[1:] != who[:-1])]
-            h, who = h[fresh], who[fresh]
-            cut = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-            df = np.diff(np.r_[cut, len(h)])
-            df = np.repeat(df, df)
-            return work(h[df > 1], who[df > 1], df[df > 1])
+def _whole_buckets(postings: DataFrame, work, schema: str) -> DataFrame:
+    """work gets the packed values of each whole bucket of a task, one bucket after the other."""
 
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+        held: list[bytes] = []
+        last = None
         for batch in batches:
             for b, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if b != last and held:
-                    yield done()
+                    yield held
                     held = []
                 last = b
                 held.append(x.as_py())
         if held:
-            yield done()
-
-    return postings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
-
-
-def _shared_counts(h: np.ndarray, who: np.ndarray, df: np.ndarray) -> pa.RecordBatch:
-    ids, n = np.unique(who, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n.astype(np.int64))], ["sid", "shared"])
+            yield held
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(groups(batches))
+        trim()
 
-def _shared_lists(h: np.ndarray, who: np.ndarray, df: np.ndarray) -> pa.RecordBatch:
-    order = np.argsort(who, kind="stable")
-    h, who, df = h[order], who[order], df[order].astype(np.int32)
-    cut = np.flatnonzero(np.r_[True, who[1:] != who[:-1]]) if len(who) else np.zeros(0, int)
-    end = np.r_[cut[1:], len(who)]
-    return pa.RecordBatch.from_arrays([pa.array(who[cut]), pa.array([h[x:y].tobytes() for x, y in zip(cut, end)], pa.binary()), pa.array([df[x:y].tobytes() for x, y in zip(cut, end)], pa.binary())], ["sid", "hs", "dfs"])
+    return postings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
-def _ordered(lists: DataFrame) -> DataFrame:
-    """sid, n, els (shingles in several sets, rarest first), dfs, q1, q2 (their number within
-    the prefix for single shingles and for pairs), scan (cost of its lists), central (mean
+def _lists(held: list[bytes], kinds: list) -> list[np.ndarray]:
+    """Distinct postings of shingles in several sets, and the number of those sets."""
+    h, who, *rest = _unpacked(held, kinds)
+    order = np.lexsort((who, h))
+    h, who, rest = h[order], who[order], [x[order] for x in rest]
+    fresh = np.r_[True, (h[1:] != h[:-1]) | (who[1:] != who[:-1])]
+    h, who, rest = h[fresh], who[fresh], [x[fresh] for x in rest]
+    cut, end = _cuts(h)
+    df = np.repeat(end - cut, end - cut)
+    return [x[df > 1] for x in (h, who, *rest, df.astype(np.int32))]
+
+
+def _shared_counts(groups: Iterator[list[bytes]]) -> Iterator[pa.RecordBatch]:
+    def flush(kept: list[np.ndarray]) -> pa.RecordBatch:
+        ids, n = np.unique(np.concatenate(kept), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n.astype(np.int64))], ["sid", "shared"])
+
+    kept, size = [], 0
+    for held in groups:
+        kept.append(_lists(held, [np.uint32, np.int64])[1])
+        size += len(kept[-1])
+        if size > FLUSH:
+            yield flush(kept)
+            kept, size = [], 0
+    if size:
+        yield flush(kept)
+
+
+def _packed(bucket: np.ndarray, parts: list[np.ndarray]) -> pa.RecordBatch:
+    """A row for each bucket: its values of each part, one part after the other."""
+    order = np.argsort(bucket, kind="stable")
+    bucket, parts = bucket[order], [x[order] for x in parts]
+    cut, end = _cuts(bucket)
+    return pa.RecordBatch.from_arrays([pa.array(bucket[cut]), pa.array([b"".join(p[x:y].tobytes() for p in parts) for x, y in zip(cut, end, strict=True)], pa.binary())], ["bucket", "packed"])
+
+
+def _by_set(buckets: int):
+    """The postings of shingles in several sets, dealt again by their sets: a task packs what it
+    has for a bucket of sets into few rows, however many sets there are."""
+
+    def flush(kept: list[list[np.ndarray]]) -> pa.RecordBatch:
+        parts = [np.concatenate(x) for x in zip(*kept, strict=True)]
+        return _packed((mix(parts[1].view(np.uint64)) % np.uint64(buckets)).astype(np.int64), parts)
+
+    def work(groups: Iterator[list[bytes]]) -> Iterator[pa.RecordBatch]:
+        kept, size = [], 0
+        for held in groups:
+            kept.append(_lists(held, [np.uint64, np.int64, np.int32]))
+            size += len(kept[-1][0])
+            if size > FLUSH:
+                yield flush(kept)
+                kept, size = [], 0
+        if size:
+            yield flush(kept)
+
+    return work
+
+
+def _ordered(groups: Iterator[list[bytes]]) -> Iterator[pa.RecordBatch]:
+    """sid, n, els (shingles in several sets, rarest first), q1, q2 (their number within the
+    prefix for single shingles and for pairs), scan (cost of its lists), central (mean
     frequency: highest for a set that near copies stem from)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple] = []
-            for sid, n, parts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                h = np.concatenate([np.frombuffer(p["hs"], np.uint64) for p in parts])
-                df = np.concatenate([np.frombuffer(p["dfs"], np.int32) for p in parts])
-                o = np.lexsort((h, df))
-                spare = n - _need(n) - (n - len(h))
-                q1, q2 = max(0, spare + 1), max(0, spare + 2) if n > 1 else 0
-                scan = int(np.minimum(df[o][:q1], SCAN).sum())
-                out.append((sid, n, h[o].view(np.int64), int(min(q1, len(h))), int(min(q2, len(h))), scan, int(df.sum() // len(df))))
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["sid", "n", "els", "q1", "q2", "scan", "central"])
-
-    return lists.mapInArrow(run, "sid long, n long, els array<long>, q1 long, q2 long, scan long, central long")
+    for held in groups:
+        h, who, size, df = _unpacked(held, [np.uint64, np.int64, np.int32, np.int32])
+        order = np.lexsort((h, df, who))
+        h, who, size, df = h[order], who[order], size[order], df[order]
+        out: list[tuple] = []
+        for x, y in zip(*_cuts(who), strict=True):
+            n, d = int(size[x]), df[x:y]
+            spare = n - _need(n) - (n - int(y - x))
+            q1, q2 = max(0, spare + 1), max(0, spare + 2) if n > 1 else 0
+            scan = int(np.minimum(d[:q1], SCAN).sum())
+            out.append((int(who[x]), n, h[x:y].view(np.int64), int(min(q1, y - x)), int(min(q2, y - x)), scan, int(d.sum(dtype=np.int64) // len(d))))
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        for a in range(0, len(out), 2000):
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out[a : a + 2000]], t) for i, t in enumerate(kinds)], ["sid", "n", "els", "q1", "q2", "scan", "central"])
 
 
 def boundary(costs: list[tuple[int, float, float]]) -> int:
@@ -194,8 +275,8 @@ def boundary(costs: list[tuple[int, float, float]]) -> int:
 
 
 def _signatures(sets: DataFrame, top: int) -> DataFrame:
-    """sig, light, sid, n, room (shingles that can still be shared if this is the first shared
-    one), all (those in any other set), central"""
+    """sig, light, sid, n, room (shingles that can be shared if these are the first shared
+    ones), all (those in any other set), central"""
     names = ["sig", "light", "sid", "n", "room", "all", "central"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +287,7 @@ def _signatures(sets: DataFrame, top: int) -> DataFrame:
                 if n <= top and q2 > 1:
                     i, j = np.triu_indices(q2, 1)
                     sig.append(mix(mix(e[i]) * _SALT + e[j]))
-                    rooms.append(len(e) - i)
+                    rooms.append(len(e) - j + 1)
                     meta.append((True, sid, n, len(e), central, len(i)))
                     size += len(i)
                 if 100 * n >= PERCENT * (top + 1) and q1:
@@ -238,88 +319,132 @@ def _fit(a: str, b: str, top: int, room: str) -> Column:
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (x, y) that reach the similarity: exact intersections."""
-    s = sets.select("sid", "n", "els")
+    ends = pairs.select(F.col("x").alias("key")).union(pairs.select(F.col("y").alias("key")))
+    s = sieved(sets.select("sid", "n", "els"), "sid", ends)
     p = pairs.join(s.selectExpr("sid as x", "n as nx", "els as ex"), "x").join(s.selectExpr("sid as y", "n as ny", "els as ey"), "y")
     inter = F.size(F.array_intersect("ex", "ey"))
     return p.where(100 * inter >= PERCENT * (F.col("nx") + F.col("ny") - inter)).select("x", "y")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """v, label (least vertex reachable) of every vertex with an edge: labels pass to
-    neighbours and then to labels of labels until none changes; each round is a table."""
-    both = kept_table(edges.selectExpr("x as v", "y as w").union(edges.selectExpr("y as v", "x as w")).distinct(), "edges")
-    labels = kept_table(both.groupBy("v").agg(F.min("w").alias("w")).selectExpr("v", "least(v, w) as label"), "labels")
+    """v, label (least vertex reachable) of every vertex with an edge (x, y).
+
+    Each round every vertex takes its least neighbour, or itself, as its parent; the graph is
+    then drawn together to the parents, so that edges within a parent are gone and the rounds
+    shrink. Each round is a table.
+    """
+    left = kept_table(edges.select("x", "y").where("x <> y").distinct(), "edges")
+    labels = None
     while True:
-        heard = both.join(labels.selectExpr("v as w", "label"), "w").groupBy("v").agg(F.min("label").alias("heard"))
-        step = labels.join(heard, "v").selectExpr("v", "label as old", "least(label, heard) as label")
-        jump = step.join(labels.selectExpr("v as label", "label as far"), "label", "left").selectExpr("v", "old", "least(label, coalesce(far, label)) as label")
-        new = kept_table(jump, "labels")
-        labels = new.select("v", "label")
-        if new.where("label <> old").isEmpty():
+        ends = left.select(F.inline(F.array(F.struct(F.col("x").alias("v"), F.col("y").alias("w")), F.struct(F.col("y").alias("v"), F.col("x").alias("w")))))
+        parents = kept_table(ends.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least("v", "w").alias("label")), "parents")
+        up = parents.select(F.col("v").alias("label"), F.col("label").alias("far"))
+        parents = kept_table(parents.join(up, "label").select("v", F.col("far").alias("label")), "parents")
+        if labels is None:
+            labels = parents
+        else:
+            next_ = parents.select(F.col("v").alias("label"), F.col("label").alias("far"))
+            labels = kept_table(labels.join(next_, "label", "left").select("v", F.coalesce("far", "label").alias("label")), "labels")
+        of = lambda end: parents.select(F.col("v").alias(end), F.col("label").alias(f"_{end}"))
+        drawn = left.join(of("x"), "x").join(of("y"), "y").select(F.least("_x", "_y").alias("x"), F.greatest("_x", "_y").alias("y"))
+        left = kept_table(drawn.where("x <> y").distinct(), "edges")
+        if left.isEmpty():
             return labels
 
 
-def similar_sets(own: DataFrame, found: DataFrame) -> DataFrame:
+def joined_components(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The labels after more links (x, y): only what the links join is gone through again."""
+    if labels is None:
+        return components(links)
+    of = lambda end: labels.select(F.col("v").alias(end), F.col("label").alias(f"_{end}"))
+    drawn = kept_table(links.join(of("x"), "x", "left").join(of("y"), "y", "left").select(F.coalesce("_x", "x").alias("x"), F.coalesce("_y", "y").alias("y")).where("x <> y"), "drawn")
+    if drawn.isEmpty():
+        return labels
+    more = components(drawn)
+    new = more.select(F.col("v").alias("label"), F.col("label").alias("far"))
+    known = labels.join(new, "label", "left").select("v", F.coalesce("far", "label").alias("label"))
+    return kept_table(known.unionByName(more.join(known.select("v"), "v", "left_anti")), "labels")
+
+
+def _open(named: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """The rows of lists that hold several components, those lists with their largest component,
+    and the number of pairs that a comparison of all that is open would take."""
+    key = ["sig", "light"]
+    named = kept_table(named, "labelled")
+    parts = named.groupBy(*key, "label").agg(F.count("*").alias("n"))
+    lists = parts.groupBy(*key).agg(F.sum("n").alias("_all"), F.max("n").alias("_most"), F.max(F.struct("n", "label")).alias("m")).where("_most < _all")
+    lists = kept_table(lists.select(*key, F.col("m.label").alias("main"), ((F.col("_all") - F.col("_most")) * F.col("_all")).cast("double").alias("cost")), "open")
+    pending = int(lists.agg(F.sum("cost")).first()[0] or 0)
+    lists = lists.drop("cost")
+    return kept_table(named.join(lists.drop("main"), key), "named") if pending else named, lists, pending
+
+
+def similar_sets(own: DataFrame, found: DataFrame, name: Names) -> DataFrame | None:
     """v, label: components of different sets; found: features of the documents."""
     spark = own.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     classes = kept_table(found.where("n > 1").groupBy("sid").agg(F.min("n").alias("n"), F.min(F.struct("_d", "_h")).alias("rep")), "classes")
-    counts = _by_bucket(_postings(own, buckets, True), _shared_counts, "sid long, shared long").groupBy("sid").agg(F.sum("shared").alias("shared"))
+    counts = _whole_buckets(_postings(own, buckets, name, True), _shared_counts, "sid long, shared long").groupBy("sid").agg(F.sum("shared").alias("shared"))
     left = counts.join(classes, "sid").where(F.col("shared") >= F.least(F.lit(EXTRA), F.ceil(PERCENT * F.col("n") / 100)))
-    left = kept_table(left.select("sid", "n", "rep._d", "rep._h"), "candidates")
-    texts = own.join(left.select("_d", "_h"), ["_d", "_h"]).dropDuplicates(["_d", "_h"])
-    lists = _by_bucket(_postings(texts, buckets, False), _shared_lists, "sid long, hs binary, dfs binary")
-    lists = lists.groupBy("sid").agg(F.collect_list(F.struct("hs", "dfs")).alias("parts")).join(left.select("sid", "n"), "sid").select("sid", "n", "parts")
-    sets = kept_table(_ordered(lists), "sets")
+    left = kept_table(left.select("rep._d", "rep._h"), "candidates")
+    texts = sieved(own.withColumn("key", F.xxhash64("_d", "_h")), "key", left.select(F.xxhash64("_d", "_h").alias("key"))).drop("key")
+    texts = texts.join(left, ["_d", "_h"]).dropDuplicates(["_d", "_h"])
+    lists = _whole_buckets(_postings(texts, buckets, name, False), _by_set(buckets), "bucket long, packed binary")
+    sets = kept_table(_whole_buckets(lists, _ordered, "sid long, n long, els array<long>, q1 long, q2 long, scan long, central long"), "sets")
     live = sets.where("q1 > 0")
     costs = live.groupBy(F.floor(F.log(F.col("n")) / float(np.log(_RATIO)) + 1e-9).alias("c")).agg(F.sum(F.col("q2") * (F.col("q2") - 1) / 2).alias("pairs"), F.sum("scan").cast("double").alias("scan"))
     top = boundary([(int(r["c"]), r["pairs"], r["scan"]) for r in costs.collect()])
     signatures = kept_table(_signatures(live, top), "signatures")
     key = ["sig", "light"]
-    named = signatures.withColumn("label", F.col("sid"))
-    stars = links = labels = None
-    for turn in range(TURNS):
-        # the first turn's pivots are the most central sets, the later ones' are random; only
-        # sets outside the pivot's component meet it, so each turn is linear in the postings
-        order = F.struct("central", "sid") if not turn else F.struct(F.xxhash64("sid", F.lit(turn)), "sid")
-        pivots = named.groupBy(*key).agg(F.max_by(F.struct("sid", "n", "all", "light", "label"), order).alias("p"), F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select(*key, "p")
+    postings = signatures.count()
+    named, open_, pending = _open(signatures.withColumn("label", F.col("sid")))
+    labels, turn, stars, before = None, 0, None, pending
+    while pending:
+        # the first turn's pivots are the most central sets, the later ones' differ from list to
+        # list; only sets outside the pivot's component meet it, so each turn is linear in the
+        # postings of open lists
+        order = F.struct("central", "sid") if not turn else F.struct(F.xxhash64("sid", "sig", F.lit(turn)), "sid")
+        pivots = named.groupBy(*key).agg(F.max_by(F.struct("sid", "n", "all", "light", "label"), order).alias("p"))
+        pivots = kept_table(pivots, "pivots")  # a table, so that the join can split a long list
         met = named.join(pivots, key).where("label <> p.label").withColumn("a", F.struct("n", "all", "light")).where(_fit("a", "p", top, "all")).select(F.col("sid").alias("x"), F.col("p.sid").alias("y")).distinct()
         met = kept_table(met if stars is None else met.join(stars, ["x", "y"], "left_anti"), "pairs")
-        new = kept_table(_linked(met, sets), "links")
         stars = met if stars is None else stars.union(met)
-        grown = not new.isEmpty()
-        links = new if links is None else links.union(new)
-        if grown or labels is None:
-            labels = components(links)
-            named = kept_table(signatures.join(labels.withColumnRenamed("v", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid")), "named")
-        elif turn:
+        new = kept_table(_linked(met, sets), "links")
+        turn += 1
+        if not new.isEmpty():
+            labels = joined_components(labels, new)
+            before = pending
+            named, open_, pending = _open(named.drop("label").join(labels.withColumnRenamed("v", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid")))
+        if turn >= LEAST_TURNS and (new.isEmpty() or pending <= postings or pending > GAIN * before):
             break
-    # lists that still hold several components: sets outside the pivot's against all others
-    open_ = kept_table(named.groupBy(*key).agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.max_by("label", F.struct("central", "sid")).alias("main")).where("_lo <> _hi").select(*key, "main"), "open")
-    rest = named.join(open_, key)
-    few = rest.where("label <> main")
-    pairs = few.alias("a").join(rest.alias("b"), key)
+    if not pending:
+        return labels
+    # lists that still hold several components: sets outside the largest against all others
+    rest = kept_table(named.join(open_, key), "rest")
+    pairs = rest.where("label <> main").alias("a").join(rest.alias("b"), key)
     more = pairs.where("a.label <> b.label and (b.label = b.main or a.sid > b.sid)").where(_fit("a", "b", top, "room")).select(F.col("a.sid").alias("x"), F.col("b.sid").alias("y")).distinct()
     known = stars.union(stars.selectExpr("y as x", "x as y"))
     added = kept_table(_linked(more.join(known, ["x", "y"], "left_anti"), sets), "links")
-    return labels if added.isEmpty() else components(links.union(added))
+    return labels if added.isEmpty() else joined_components(labels, added)
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
+def jaccard_components(docs: DataFrame, bits: int = 64) -> DataFrame:
     """doc_id, _d, _h, n_shingles, component_id (least id reachable by links, itself included).
 
     Null and blank texts have no shingles and no links. Documents with equal sets are linked,
     rows that agree in id and text as well. A null id never names a component unless no other
     is in it. Extra columns are ignored. ``docs`` is read several times and must give the same
-    rows each time.
+    rows each time. bits: of the first hash that names a set, fewer only for tests.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_d"), F.xxhash64(text).alias("_h"), text.cast("binary").alias("_text"))
-    found = kept_table(features(own), "features")
-    labels = similar_sets(own, found)
-    named = found.join(labels.withColumnRenamed("v", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    found, name = features(own, bits)
+    labels = similar_sets(own, found, name)
+    named = found.withColumn("label", F.col("sid"))
+    if labels is not None:
+        named = found.join(labels.withColumnRenamed("v", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     # named by label; partial sums keep a hot component small, and the join back is by label
-    ids = named.where("n > 0").groupBy("label").agg(F.min(F.when(F.col("_d") != NO_ID, F.col("_d"))).alias("component_id"))
+    ids = kept_table(named.where("n > 0").groupBy("label").agg(F.min(F.when(F.col("_d") != NO_ID, F.col("_d"))).alias("component_id")), "names")
     doc_id = F.when(F.col("_d") != NO_ID, F.col("_d"))
     out = named.join(ids, "label", "left")
     return out.select(doc_id.alias("doc_id"), "_d", "_h", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(doc_id).alias("component_id"))
@@ -330,9 +455,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     that id the first by a hash of the text; of rows that agree in both, one."""
     found = kept_table(jaccard_components(docs), "components")
     own_group = F.when(F.col("n_shingles") > 0, F.struct(F.lit(0).cast("long").alias("k"), F.col("component_id").alias("c"))).otherwise(F.struct(F.xxhash64("_d", "_h").alias("k"), F.lit(None).cast("long").alias("c")))
-    kept = kept_table(found.groupBy(own_group.alias("g")).agg(F.min(F.struct("_d", "_h")).alias("r")).select("r._d", "r._h").distinct(), "kept")
-    d = docs.withColumn("_d", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_h", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    return d.join(kept, ["_d", "_h"], "left_semi").dropDuplicates(["_d", "_h"]).select(*docs.columns)
+    d, h = fresh(docs, "_d", "_h")
+    kept = kept_table(found.groupBy(own_group.alias("g")).agg(F.min(F.struct("_d", "_h")).alias("r")).select(F.col("r._d").alias(d), F.col("r._h").alias(h)).distinct(), "kept")
+    own = docs.withColumn(d, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(h, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    return own.join(kept, [d, h], "left_semi").dropDuplicates([d, h]).select(*docs.columns)
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
