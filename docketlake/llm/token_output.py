@@ -33,7 +33,7 @@ SHARD_BYTES = 32 << 20
 #: Bounds of a worker's cache of encoded pieces; it is emptied when full.
 CACHE_PIECES = 1_000_000
 CACHE_BYTES = 48 << 20
-ENCODE_CHARS = 4 << 20
+ENCODE_BYTES = 4 << 20
 LINE_PIECES = 1000
 #: Documents whose boundaries are selected at a time when a shard is read.
 READ_DOCS = 1 << 14
@@ -169,9 +169,9 @@ class PieceEncoder:
                 sizes.append(np.array([len(x) for x in apart], dtype=np.int64))
         return (np.concatenate(ids), np.concatenate(sizes)) if ids else (np.zeros(0, self.dtype), np.zeros(0, np.int64))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
-        column = pa.array(texts, pa.large_string())
+        column = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
         split = pc.split_pattern(column, " ")
         coded = split.flatten().dictionary_encode()
         first = split.offsets.to_numpy()[:-1]
@@ -189,9 +189,10 @@ class PieceEncoder:
         self.length = np.concatenate([self.length, n])
         self.ids = np.concatenate([self.ids, ids])
         self.known = pa.concat_arrays([self.known, names.take(pa.array(taken))])
-        slot = slot_of[coded.indices.to_numpy()]
+        pieces = coded.indices.to_numpy()
+        slot = slot_of[pieces]
         # first pieces have no space before them: encoded for this batch alone
-        head = [x.split(" ", 1)[0] for x in texts]
+        head = names.take(pa.array(pieces[first])).to_pylist()
         heads = {x: i for i, x in enumerate(dict.fromkeys(x for x in head if not self.odd(x)))}
         lists = self._lists(list(heads))
         sizes = np.array([len(x) for x in lists], dtype=np.int64)
@@ -208,7 +209,7 @@ class PieceEncoder:
         if not whole.all():
             parts = np.split(out, np.cumsum(sizes)[:-1])
             again = np.flatnonzero(~whole).tolist()
-            for i, got in zip(again, self._lists([texts[i] for i in again]), strict=True):
+            for i, got in zip(again, self._lists(column.take(pa.array(again)).to_pylist()), strict=True):
                 parts[i] = got
             out, sizes = np.concatenate(parts), np.array([len(x) for x in parts], dtype=np.int64)
         return out, sizes
@@ -277,15 +278,12 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
             if not batch.num_rows:
                 continue
             stream = stream or filesystem.open_output_stream(part)
-            texts = batch.column(1).to_pylist()
             ids.append(_id_keys(batch.column(0)))
+            upto = np.cumsum(pc.binary_length(batch.column(1)).to_numpy().astype(np.int64))
             a = 0
-            while a < len(texts):
-                b, size = a, 0
-                while b < len(texts) and (b == a or size + len(texts[b]) <= ENCODE_CHARS):
-                    size += len(texts[b])
-                    b += 1
-                coded, n = encoder.encode(texts[a:b])
+            while a < batch.num_rows:  # as many texts as fit ENCODE_BYTES, one at least
+                b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + ENCODE_BYTES, side="right")))
+                coded, n = encoder.encode(batch.column(1).slice(a, b - a))
                 stream.write(np.insert(coded, np.cumsum(n), end_id).tobytes())
                 lengths.append(n + 1)
                 a = b
