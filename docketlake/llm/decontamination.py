@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, kept_table, table
+from .common import SPACE, fresh, kept_table, table
 
 WINDOW = 8
 #: Words of a window that must not be placeholders.
@@ -90,8 +90,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     windows = again.select("_row", F.inline("all")).select("_row", "size", F.posexplode("hs").alias("at", "h"))
     pairs = kept_table(windows.join(items, ["size", "h"]).select("_row", "item_id", F.col("i").alias("j"), "at", "slots").withColumn("shift", F.col("at") - F.col("j")), "pairs")
     asked = pairs.select("_row", "item_id", "shift", "at", F.inline("slots")).select("_row", "item_id", "shift", (F.col("at") + F.col("place")).alias("place"), F.col("value").alias("b")).distinct()
-    values = asked.join(again.select("_row", F.inline("marks")).distinct(), ["_row", "place"]).groupBy("_row", "item_id", "shift", "b").agg((F.min("value") != F.max("value")).alias("clash"))
-    clashing = values.where("clash").select("_row", "item_id", "shift").distinct()
+    values = asked.join(again.select("_row", F.inline("marks")).distinct(), ["_row", "place"]).select("_row", "item_id", "shift", "b", "value")
+    # one to one: no value of the item stands for two of the document, nor the other way round
+    both = values.select("_row", "item_id", "shift", F.inline(F.array(F.struct(F.lit(0).alias("side"), F.col("b").alias("key"), F.col("value").alias("other")), F.struct(F.lit(1).alias("side"), F.col("value").alias("key"), F.col("b").alias("other")))))
+    clashing = both.groupBy("_row", "item_id", "shift", "side", "key").agg((F.min("other") != F.max("other")).alias("clash")).where("clash").select("_row", "item_id", "shift").distinct()
     good = pairs.select("_row", "item_id", "shift", "j").join(clashing, ["_row", "item_id", "shift"], "left_anti").groupBy("_row", "item_id").agg(F.countDistinct("j").alias("n_windows"))
     hits = good.join(sizes, "item_id").where(F.col("n_windows") >= COVERAGE * F.col("n_item_windows"))
     return kept_table(hits.join(ids, "_row").select("_row", "doc_id", "item_id", "n_windows", "n_item_windows"), "leaks")
@@ -99,8 +101,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated documents."""
-    bad = leaks(docs, benchmark).select("_row").distinct()
-    return docs.withColumn("_row", F.xxhash64("doc_id", "text")).join(bad, "_row", "left_anti").drop("_row")
+    (row,) = fresh(docs, "_row")
+    bad = leaks(docs, benchmark).select(F.col("_row").alias(row)).distinct()
+    return docs.withColumn(row, F.xxhash64("doc_id", "text")).join(bad, row, "left_anti").select(*docs.columns)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,6 +131,8 @@ with {_side("benchmark", "item_id")},
 sizes as (select item_id, count(*) as n_item_windows from benchmark_w group by 1),
 pairs as (select d.doc_id, b.item_id, b.i as j, d.i - b.i as shift, b.r as br, d.r as dr, b.t as t from documents_w d join benchmark_w b using (w)),
 vals as (select doc_id, item_id, shift, unnest(br) as b, unnest(dr) as d, unnest(t) as t from pairs),
-clash as (select distinct doc_id, item_id, shift from vals where t in ('<num>', '<name>', '<unit>') group by doc_id, item_id, shift, b having min(d) <> max(d)),
+slots as (select * from vals where t in ('<num>', '<name>', '<unit>')),
+clash as (select doc_id, item_id, shift from slots group by doc_id, item_id, shift, b having min(d) <> max(d)
+  union select doc_id, item_id, shift from slots group by doc_id, item_id, shift, d having min(b) <> max(b)),
 good as (select doc_id, item_id, count(distinct j) as n_windows from pairs anti join clash using (doc_id, item_id, shift) group by all)
 select doc_id, item_id, n_windows, n_item_windows from good join sizes using (item_id) where n_windows >= {COVERAGE} * n_item_windows"""
