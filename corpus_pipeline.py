@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm.common import kept_table, shared_folder, table
+from docketlake.llm.common import fresh, kept_table, shared_folder, table
 from docketlake.llm.decontamination import decontaminate
 from docketlake.llm.jaccard_join import keep_one
 from docketlake.llm.mixing import mix_sources
@@ -15,10 +15,11 @@ from docketlake.llm.token_output import token_output
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the base rule or a certified cutoff rejects."""
-    own = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    judged = quality_rules(own.select("doc_id", "text", "lang", "_row"), table(spark, sf_dir, "labels"), keep=("_row",))
-    bad = kept_table(judged.where(~F.col("kept")).select("_row").distinct(), "rejected")
-    return own.join(bad, "_row", "left_anti").select(*docs.columns)
+    (row,) = fresh(docs, "_row")
+    own = docs.withColumn(row, F.xxhash64("doc_id", "lang", "text"))
+    judged = quality_rules(own.select("doc_id", "text", "lang", row), table(spark, sf_dir, "labels"), keep=(row,))
+    bad = kept_table(judged.where(~F.col("kept")).select(row).distinct(), "rejected")
+    return own.join(bad, row, "left_anti").select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +38,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Writes the token shards and returns what they say of each document."""
-    return token_output(spark, docs)
+    """Writes the token shards, in the order that the mixing left, and returns what they say of
+    each document."""
+    return token_output(spark, docs, ordered=False)
 
 
 STAGES = [
@@ -49,7 +51,7 @@ STAGES = [
     ("token_output", tokens),
 ]
 
-#: The join and the token ids are beyond SQL; tests/llm tests the operators, not this run.
+#: The join and the token ids are beyond SQL; tests/llm holds the run against a plain Python version.
 ORACLE_SQL = None
 
 
