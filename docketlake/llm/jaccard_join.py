@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, kept_table, sieved, table, trim
+from .common import fresh, kept_table, lean, parted, sieved, table
 from .substring_dedup import _combined, hashed
 from .superkmers import NO_ID, mix
 
@@ -92,12 +92,10 @@ def features(own: DataFrame, bits: int = 64) -> tuple[DataFrame, Names]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t.as_py()) for t in batch.column(2)]
-            ids = [_set_ids(s, bits) for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(x, pa.int64()) for x in ([i for i, _ in ids], [j for _, j in ids], [len(s) for s in sets])]], ["_d", "_h", "sid", "check", "n"])
-            trim()
+            ids = [(*_set_ids(s, bits), len(s)) for s in (shingles(t.as_py()) for t in batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array([x[i] for x in ids], pa.int64()) for i in range(3)]], ["_d", "_h", "sid", "check", "n"])
 
-    found = kept_table(own.select("_d", "_h", "_text").mapInArrow(run, "_d long, _h long, sid long, check long, n long"), "features")
+    found = kept_table(own.select("_d", "_h", "_text").mapInArrow(lean(run), "_d long, _h long, sid long, check long, n long"), "features")
     twice = found.where("n > 0").groupBy("sid").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).where("lo <> hi")
     taken = found.where("n > 0").join(twice, "sid").where("check <> lo").select("sid", "check").distinct().collect()
     if taken:
@@ -146,9 +144,8 @@ def _postings(own: DataFrame, buckets: int, name: Names, prefix: bool) -> DataFr
                     hs, ids, size = [], [], 0
         if hs:
             yield flush()
-        trim()
 
-    return own.select("_text").mapInArrow(run, "bucket long, packed binary")
+    return own.select("_text").mapInArrow(lean(run), "bucket long, packed binary")
 
 
 def _unpacked(held: list[bytes], kinds: list) -> list[np.ndarray]:
@@ -176,11 +173,7 @@ def _whole_buckets(postings: DataFrame, work, schema: str) -> DataFrame:
         if held:
             yield held
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from work(groups(batches))
-        trim()
-
-    return postings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+    return postings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lean(lambda batches: work(groups(batches))), schema)
 
 
 def _lists(held: list[bytes], kinds: list) -> list[np.ndarray]:
@@ -282,8 +275,10 @@ def _signatures(sets: DataFrame, top: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sig, rooms, meta, size = [], [], [], 0
-            for sid, n, els, q1, q2, central in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                e = np.array(els, dtype=np.int64).view(np.uint64)
+            lists = batch.column(2)
+            values, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+            for k, (sid, n, q1, q2, central) in enumerate(zip(*[batch.column(i).to_pylist() for i in (0, 1, 3, 4, 5)], strict=True)):
+                e = values[ends[k] : ends[k + 1]]
                 if n <= top and q2 > 1:
                     i, j = np.triu_indices(q2, 1)
                     sig.append(mix(mix(e[i]) * _SALT + e[j]))
@@ -306,7 +301,7 @@ def _signatures(sets: DataFrame, top: int) -> DataFrame:
         light, sid, n, total, central = (np.repeat(np.array(x), times) for x in list(zip(*meta, strict=True))[:5])
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(sig).view(np.int64), light, sid, n, np.concatenate(rooms).astype(np.int64), total, central)], names)
 
-    return sets.select("sid", "n", "els", "q1", "q2", "central").mapInArrow(run, "sig long, light boolean, sid long, n long, room long, all long, central long")
+    return sets.select("sid", "n", "els", "q1", "q2", "central").mapInArrow(lean(run), "sig long, light boolean, sid long, n long, room long, all long, central long")
 
 
 def _fit(a: str, b: str, top: int, room: str) -> Column:
@@ -429,7 +424,9 @@ def similar_sets(own: DataFrame, found: DataFrame, name: Names) -> DataFrame | N
 
 
 def jaccard_components(docs: DataFrame, bits: int = 64) -> DataFrame:
-    """doc_id, _d, _h, n_shingles, component_id (least id reachable by links, itself included).
+    """doc_id, _d, _h, n_shingles, component_id (least id reachable by links, itself included),
+    and _c, which tells components apart that have the same component_id because their rows
+    share a doc_id.
 
     Null and blank texts have no shingles and no links. Documents with equal sets are linked,
     rows that agree in id and text as well. A null id never names a component unless no other
@@ -447,18 +444,23 @@ def jaccard_components(docs: DataFrame, bits: int = 64) -> DataFrame:
     ids = kept_table(named.where("n > 0").groupBy("label").agg(F.min(F.when(F.col("_d") != NO_ID, F.col("_d"))).alias("component_id")), "names")
     doc_id = F.when(F.col("_d") != NO_ID, F.col("_d"))
     out = named.join(ids, "label", "left")
-    return out.select(doc_id.alias("doc_id"), "_d", "_h", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(doc_id).alias("component_id"))
+    return out.select(doc_id.alias("doc_id"), "_d", "_h", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(doc_id).alias("component_id"), F.col("label").alias("_c"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component: the one with the least id; of rows with
     that id the first by a hash of the text; of rows that agree in both, one."""
     found = kept_table(jaccard_components(docs), "components")
-    own_group = F.when(F.col("n_shingles") > 0, F.struct(F.lit(0).cast("long").alias("k"), F.col("component_id").alias("c"))).otherwise(F.struct(F.xxhash64("_d", "_h").alias("k"), F.lit(None).cast("long").alias("c")))
-    d, h = fresh(docs, "_d", "_h")
+    own_group = F.when(F.col("n_shingles") > 0, F.struct(F.lit(0).cast("long").alias("k"), F.col("_c").alias("c"))).otherwise(F.struct(F.xxhash64("_d", "_h").alias("k"), F.lit(None).cast("long").alias("c")))
+    d, h, key = fresh(docs, "_d", "_h", "_key")
     kept = kept_table(found.groupBy(own_group.alias("g")).agg(F.min(F.struct("_d", "_h")).alias("r")).select(F.col("r._d").alias(d), F.col("r._h").alias(h)).distinct(), "kept")
+    rows = found.groupBy(F.col("_d").alias(d), F.col("_h").alias(h)).count()
+    odd = kept_table(rows.join(kept.withColumn("kept", F.lit(True)), [d, h], "left").where("kept is null or count > 1").select(F.xxhash64(d, h).alias("key")), "odd")
     own = docs.withColumn(d, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(h, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    return own.join(kept, [d, h], "left_semi").dropDuplicates([d, h]).select(*docs.columns)
+    # documents that stay and stand once don't move; the others meet the list of what is kept
+    clear, rest = parted(own.withColumn(key, F.xxhash64(d, h)), key, odd)
+    rest = rest.join(kept, [d, h], "left_semi").dropDuplicates([d, h])
+    return clear.select(*docs.columns).unionByName(rest.select(*docs.columns))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

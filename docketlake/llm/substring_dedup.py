@@ -14,8 +14,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
-from .superkmers import Kind, covered, covered_spans, mix, prepared
+from .common import lean, table
+from .superkmers import FEW_RUNS, Kind, covered, covered_spans, mix, prepared
 
 WINDOW = 20
 _ODD = np.random.default_rng(20).integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -47,6 +47,9 @@ class Words(Kind):
     def grams(self, units: np.ndarray) -> np.ndarray:
         return _combined(units, self.gram)
 
+    def marks(self, units: np.ndarray, seed: int) -> np.ndarray:
+        return _combined(mix(units ^ np.uint64(seed * 0x9E3779B97F4A7C15 % (1 << 64))), self.window)
+
     def pack(self, units: list[bytes], a: int, b: int) -> bytes:
         return b" ".join(units[a:b])
 
@@ -92,17 +95,18 @@ class Words(Kind):
             yield o, a, b + 1
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, few_runs: int = FEW_RUNS) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, and kept_text (kept words joined by spaces).
 
     Null texts have no words. Documents with a null id come first; documents with the same id
     are taken in the order of a hash of their texts, and rows that agree in both are one
-    document listed twice: each row gets its result. Extra columns are ignored. ``docs`` is
+    document listed twice: each row gets its result. Words that are no UTF-8 show as replacement characters in kept_text alone. few_runs: see superkmers.py; it
+    moves work, not results. Extra columns are ignored. ``docs`` is
     read several times and must give the same rows each time.
     """
     own = prepared(docs)
     kind = Words(window)
-    spans = covered_spans(kind, own)
+    spans = covered_spans(kind, own, few_runs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,11 +123,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     n.append(len(words))
                     gone.append(len(words) - len(left))
                     sha.append(hashlib.sha256(text).hexdigest())
-                    kept.append(text.decode())
+                    kept.append(text.decode(errors="replace"))
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
     joined = own.join(spans.hint("shuffle_hash"), ["_d", "_h"], "left").select("doc_id", "_text", "spans")
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    return joined.mapInArrow(lean(run), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
-from .superkmers import Kind, covered, covered_spans, mix, prepared
+from .common import lean, table
+from .superkmers import FEW_RUNS, Kind, covered, covered_spans, mix, prepared
 
 WINDOW = 400
 _C = np.random.default_rng(8).integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -30,49 +30,38 @@ def _eights(data: np.ndarray) -> np.ndarray:
     return np.ndarray((len(data),), dtype=">u8", buffer=padded, strides=(1,))
 
 
-def _refine(group: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, new groups) by (group, digit), without groups of one."""
-    order = np.lexsort((digit, group))
-    g, d = group[order], digit[order]
-    new = np.r_[True, (g[1:] != g[:-1]) | (d[1:] != d[:-1])]
-    label = np.cumsum(new) - 1
-    alone = np.bincount(label) == 1
-    keep = ~alone[label]
-    return order[keep], label[keep]
-
-
 def equal_suffixes(data: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places in ``starts``, group) of the suffixes equal to another through ``depth`` bytes."""
-    eights = _eights(data)
-    at, group = np.arange(len(starts)), np.zeros(len(starts), dtype=np.int64)
-    passes = [[o] for o in range(0, min(16, depth), 8)]
-    rest = list(range(16, depth, 8))
-    passes += [rest[i : i + 12] for i in range(0, len(rest), 12)]
-    for offsets in passes:
-        if not len(at):
-            return at, group
-        digit = np.zeros(len(at), dtype=np.uint64)
-        for j, o in enumerate(offsets):
-            x = eights[starts[at] + o].astype(np.uint64)
-            if depth - o < 8:
-                x = x >> np.uint64(8 * (8 - depth + o))
-            digit = x if len(offsets) == 1 else digit + mix(x ^ _C[j]) * _C[32 + j]
-        order, group = _refine(group, digit)
-        at = at[order]
-    if not len(at):
-        return at, group
-    lead = at[np.searchsorted(group, group)]  # groups are in order
-    wrong = np.zeros(len(at), dtype=bool)
+    """(places in ``starts`` in the order of their suffixes, first place of each group) of the
+    suffixes equal to another through ``depth`` bytes.
+
+    Most-significant-digit passes of 8 bytes each: a pass orders every group by its next digit
+    and cuts it where the digit changes; groups of one leave. Groups that agree in the digit
+    stay as they are.
+    """
+    digits = _eights(data).astype(np.uint64)
+    at, cut = np.arange(len(starts)), np.zeros(min(1, len(starts)), dtype=np.int64)
     for o in range(0, depth, 8):
-        o = min(o, max(0, depth - 8))
-        wrong |= eights[starts[at] + o] != eights[starts[lead] + o] if depth >= 8 else False
-    if depth < 8 or wrong.any():  # names that met by chance: group by the bytes themselves
-        exact: dict[bytes, list[int]] = {}
-        for i in at.tolist():
-            exact.setdefault(data[starts[i] : starts[i] + depth].tobytes(), []).append(i)
-        sets = [x for x in exact.values() if len(x) > 1]
-        return np.array([i for x in sets for i in x], dtype=np.int64), np.array([g for g, x in enumerate(sets) for _ in x], dtype=np.int64)
-    return at, group
+        if not len(at):
+            break
+        digit = digits[starts[at] + o]
+        if depth - o < 8:
+            digit >>= np.uint64(8 * (8 - depth + o))
+        sizes = np.diff(np.r_[cut, len(at)])
+        mixed = np.logical_or.reduceat(digit != np.repeat(digit[cut], sizes), cut)
+        if not mixed.any():
+            if o:
+                continue
+        group = np.repeat(np.arange(len(cut)), sizes)
+        inside = np.flatnonzero(np.repeat(mixed, sizes))
+        order = np.arange(len(at))
+        order[inside] = inside[np.argsort(digit, kind="stable") if len(cut) == 1 and len(inside) else np.lexsort((digit[inside], group[inside]))]
+        at, digit = at[order], digit[order]
+        new = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (digit[1:] != digit[:-1])])
+        sizes = np.diff(np.r_[new, len(at)])
+        at = at[np.repeat(sizes > 1, sizes)]
+        sizes = sizes[sizes > 1]
+        cut = np.cumsum(sizes) - sizes
+    return at, cut
 
 
 class Bytes(Kind):
@@ -97,6 +86,15 @@ class Bytes(Kind):
             out += mix(eights[o : n + o].astype(np.uint64) ^ _C[j]) * _C[32 + j]
         return mix(out)
 
+    def marks(self, units: np.ndarray, seed: int) -> np.ndarray:
+        n = len(units) - self.window + 1
+        places = [*range(0, self.window - 8, 8), self.window - 8] if self.window >= 8 else range(self.window)
+        eights = _eights(units).astype(np.uint64) if self.window >= 8 else units.astype(np.uint64)
+        out = np.zeros(n, dtype=np.uint64)
+        for j, o in enumerate(places):  # a polynomial in an odd number over mixed digits
+            out = out * _C[seed] + mix(eights[o : n + o] ^ _C[2 + (j + seed) % 62])
+        return mix(out)
+
     def pack(self, units: np.ndarray, a: int, b: int) -> bytes:
         return units[a:b].tobytes()
 
@@ -120,16 +118,16 @@ class Bytes(Kind):
                 yield o, a, b + 1
 
 
-def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW, few_runs: int = FEW_RUNS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and kept (the remaining bytes).
 
     Null texts are empty. Rows that agree in id and text are two occurrences of one string, so
     both lose what is long enough; other rows with a repeated or null id are documents of
-    their own. Extra columns are ignored. ``docs`` is read several times and must give the
-    same rows each time.
+    their own. few_runs: see superkmers.py; it moves work, not results. Extra columns are
+    ignored. ``docs`` is read several times and must give the same rows each time.
     """
     own = prepared(docs)
-    spans = covered_spans(Bytes(window), own)
+    spans = covered_spans(Bytes(window), own, few_runs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,7 +151,7 @@ def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     joined = own.join(spans.hint("shuffle_hash"), ["_d", "_h"], "left").select("doc_id", "_text", "spans")
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return joined.mapInArrow(lean(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

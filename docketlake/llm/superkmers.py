@@ -9,18 +9,22 @@ Steps: minimisers of all texts -> minimisers with several occurrences -> packed
 their runs, equal ones of a task merged -> windows compared in each bucket -> covered spans
 of each document. A group of copies thus sends one string for each task and run, whatever
 its size; tasks stream, and a bucket is worked off in groups of whole minimisers.
+
+A minimiser that alone would outweigh a task (a passage that very many documents share has as
+many different runs as neighbours) gets no bucket. Its windows travel one by one under two
+64-bit names, are counted by partial sums, and meet their counts in a join that can be split.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept_table
+from .common import kept_table, lean
 
 _MASK = np.uint64((1 << 24) - 1)
 PIECE = 1 << 21
@@ -28,9 +32,8 @@ NO_ID = -(1 << 63)
 #: Bytes of packed strings that a task merges before it passes them on.
 MERGE_BYTES = 24 << 20
 BUCKET_BYTES = 3 << 20
-
-Units = Callable[[bytes], tuple[np.ndarray, object]]
-
+#: A minimiser of more runs than the mean task has, within these bounds, goes by windows.
+FEW_RUNS, MANY_RUNS = 1000, 200_000
 
 def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(32))
@@ -62,17 +65,35 @@ def runs_of(grams: np.ndarray, valid: np.ndarray, width: int) -> tuple[np.ndarra
 
 
 class Kind:
-    """How a text becomes units, grams and packed strings; see the two operators."""
+    """How a text becomes units, grams and packed strings; see the two operators.
+
+    units: the units of a text; join: parts put together, as grams takes them; grams: a hash of
+    the gram at each place; marks: a name of the window at each place; pack: some units as one
+    string; repeated: (string, first window, end) of the windows that are covered.
+    """
 
     window: int
     gram: int
-
-    def units(self, text: bytes): ...  # noqa: E704
-    def grams(self, units) -> np.ndarray: ...  # noqa: E704
-    def pack(self, units, a: int, b: int) -> bytes: ...  # noqa: E704
-    def repeated(self, strings: list[bytes], where: list[tuple]) -> Iterator[tuple[int, int, int]]: ...  # noqa: E704
     first_stays: bool
 
+    def units(self, text: bytes):
+        raise NotImplementedError
+
+    def join(self, parts: list) -> np.ndarray:
+        raise NotImplementedError
+
+    def grams(self, units: np.ndarray) -> np.ndarray:
+        raise NotImplementedError
+
+    def marks(self, units: np.ndarray, seed: int) -> np.ndarray:
+        raise NotImplementedError
+
+    def pack(self, units, a: int, b: int) -> bytes:
+        raise NotImplementedError
+
+    def repeated(self, strings: list[bytes], where: list[tuple]) -> Iterator[tuple[int, int, int]]:
+        raise NotImplementedError
+
 
 def minimisers(kind: Kind, docs: DataFrame) -> DataFrame:
     """mini, _d, _h, a, b, n: the runs of every text."""
@@ -112,7 +133,7 @@ def minimisers(kind: Kind, docs: DataFrame) -> DataFrame:
         shift = np.array([s for _, s, _ in pending], dtype=np.int64)[who] - first[who]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (mini, d[doc], h[doc], a + shift, b + shift, occ.astype(np.int64))], ["mini", "_d", "_h", "a", "b", "n"])
 
-    return docs.select("_d", "_h", "_text").mapInArrow(run, "mini long, _d long, _h long, a long, b long, n long")
+    return docs.select("_d", "_h", "_text").mapInArrow(lean(run), "mini long, _d long, _h long, a long, b long, n long")
 
 
 _MOVED = "mini long, packed binary, _d long, _h long, a long, b long"
@@ -173,7 +194,7 @@ def _moved(kind: Kind, joined: DataFrame) -> DataFrame:
                     told = []
         yield _batch(told + merged.rows())
 
-    return joined.mapInArrow(run, _MOVED)
+    return joined.mapInArrow(lean(run), _MOVED)
 
 
 def _compared(kind: Kind, moved: DataFrame) -> DataFrame:
@@ -205,7 +226,7 @@ def _compared(kind: Kind, moved: DataFrame) -> DataFrame:
             yield from work(rows)
 
     dealt = moved.where("mini is not null").repartition("mini").sortWithinPartitions("mini")
-    return dealt.mapInArrow(run, "_d long, _h long, a long, b long")
+    return dealt.mapInArrow(lean(run), "_d long, _h long, a long, b long")
 
 
 def prepared(docs: DataFrame) -> DataFrame:
@@ -214,16 +235,44 @@ def prepared(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_d"), F.xxhash64(text).alias("_h"), text.cast("binary").alias("_text"))
 
 
-def covered_spans(kind: Kind, own: DataFrame) -> DataFrame:
+def _by_window(kind: Kind, joined: DataFrame) -> DataFrame:
+    """Spans (_d, _h, a, b) that are covered among the windows of hot minimisers."""
+    k = kind.window
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                u = kind.units(batch.column(2)[i].as_py())
+                for s in batch.column(3)[i].as_py():
+                    part = kind.join([u[s["a"] : s["b"] + k - 1]])
+                    n = s["b"] - s["a"]
+                    yield pa.RecordBatch.from_arrays([*[pa.array(kind.marks(part, seed).view(np.int64)) for seed in (0, 1)], pa.repeat(batch.column(0)[i], n), pa.repeat(batch.column(1)[i], n), pa.array(np.arange(s["a"], s["b"]))], ["f", "g", "_d", "_h", "a"])
+
+    rows = kept_table(joined.mapInArrow(lean(run), "f long, g long, _d long, _h long, a long"), "windows")
+    first = F.min(F.struct("_d", "_h", "a")).alias("first")
+    groups = kept_table(rows.groupBy("f", "g").agg(first, F.count("*").alias("n")).where("n > 1").select("f", "g", "first"), "counts")
+    met = rows.join(groups, ["f", "g"])
+    if kind.first_stays:
+        met = met.where(F.struct("_d", "_h", "a") > F.col("first"))
+    return met.select("_d", "_h", "a", (F.col("a") + 1).alias("b")).distinct()
+
+
+def covered_spans(kind: Kind, own: DataFrame, few_runs: int = FEW_RUNS) -> DataFrame:
     """_d, _h, spans: the windows of each document that the operator removes, as [a, b) runs of
     window starts, of every document that has any."""
     runs = kept_table(minimisers(kind, own), "minimisers")
-    often = kept_table(runs.groupBy("mini").agg(F.sum("n").alias("n")).where("n > 1").select("mini"), "often")
-    found = kept_table(runs.join(often, "mini", "left_semi").groupBy("_d", "_h").agg(F.collect_set(F.struct("mini", "a", "b")).alias("runs")), "runs")
-    joined = own.join(found, ["_d", "_h"]).select("_d", "_h", "_text", "runs")
-    moved = kept_table(_moved(kind, joined), "packed")
+    often = kept_table(runs.groupBy("mini").agg(F.sum("n").alias("n"), F.count("*").alias("runs")).where("n > 1").select("mini", "runs"), "often")
+    tasks = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mean = (often.agg(F.sum("runs")).first()[0] or 0) // tasks
+    hot = F.col("runs") > min(MANY_RUNS, max(few_runs, mean))
+    found = runs.join(often, "mini").groupBy("_d", "_h", hot.alias("hot")).agg(F.collect_set(F.struct("mini", "a", "b")).alias("runs"))
+    found = kept_table(found, "runs")
+    joined = lambda which: own.join(found.where(which).drop("hot"), ["_d", "_h"]).select("_d", "_h", "_text", "runs")
+    moved = kept_table(_moved(kind, joined("not hot")), "packed")
     told = moved.where("mini is null").select("_d", "_h", "a", "b")
     spans = told.unionByName(_compared(kind, moved))
+    if not found.where("hot").isEmpty():
+        spans = spans.unionByName(_by_window(kind, joined("hot")))
     return kept_table(spans.groupBy("_d", "_h").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
 
 

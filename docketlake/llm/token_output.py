@@ -25,15 +25,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_folder, table, trim
+from .common import lean, shared_folder, small_batches, table, trim
 
 MAGIC = b"DKTTOK01"
 END_ID = 2
 SHARD_BYTES = 32 << 20
 #: Bounds of a worker's cache of encoded pieces; it is emptied when full.
-CACHE_PIECES = 1_000_000
-CACHE_BYTES = 48 << 20
-ENCODE_BYTES = 4 << 20
+CACHE_PIECES = 400_000
+CACHE_BYTES = 24 << 20
+ENCODE_BYTES = 2 << 20
 LINE_PIECES = 1000
 #: Documents whose boundaries are selected at a time when a shard is read.
 READ_DOCS = 1 << 14
@@ -298,11 +298,11 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
         stream.write(bounds + keys + footer + struct.pack("<I", len(footer)) + MAGIC)
         stream.close()
         filesystem.move(part, path)  # a file with the final name is always whole
-        trim()
         yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [f"{folder}/shard-{shard:06d}.tok"], "n_docs": [n_docs], "n_ids": [n_ids]}, schema=pa.schema([("shard", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
-    manifest = own.mapInArrow(write, "shard long, path string, n_docs long, n_ids long")
-    manifest.write.parquet(f"{folder}/manifest")
+    manifest = own.mapInArrow(lean(write), "shard long, path string, n_docs long, n_ids long")
+    with small_batches(spark):
+        manifest.write.parquet(f"{folder}/manifest")
     return spark.read.schema(manifest.schema).parquet(f"{folder}/manifest")
 
 
@@ -373,7 +373,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                         a = b
                     yield pa.RecordBatch.from_pydict({"doc_id": shard.doc_ids(first, last), "start": pa.array(bounds[:-1] + base, pa.int64()), "n_tokens": pa.array(np.diff(bounds), pa.int64()), "ids_crc32": pa.array(crcs, pa.int64())})
 
-    return _bases(manifest).repartition(n).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _bases(manifest).repartition(n).mapInArrow(lean(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_output(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, folder: str | None = None, ordered: bool = True) -> DataFrame:
