@@ -11,6 +11,7 @@ shorter than a shingle is one shingle of its own length, looked up at every plac
 
 from __future__ import annotations
 
+from collections import Counter
 from math import ceil, log
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,14 +23,39 @@ SHINGLE = 5
 SHARE = 0.75
 RECALL = 0.9999
 
-# Short public notices by which texts name their license.
+# Public notices and the opening or grant of public licenses, by which texts name
+# their license.
 TEMPLATES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"],
-    "MIT": ["Released under the MIT License.", "Licensed under the MIT License", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
-    "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "under the terms of the GNU General Public License as published by the Free Software Foundation"],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
+    "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0",
+        "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    ],
+    "MIT": [
+        "Released under the MIT License.",
+        "Licensed under the MIT License",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    ],
+    "BSD": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "Zlib": ["This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "GPL-3.0": [
+        "This work is licensed under the GNU General Public License, version 3.",
+        "under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "You should have received a copy of the GNU General Public License along with this program.",
+    ],
+    "LGPL": ["under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"],
+    "AGPL-3.0": ["under the terms of the GNU Affero General Public License as published by the Free Software Foundation"],
+    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"],
+    "CC-BY-SA-4.0": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"],
     "CC-BY-4.0": ["Licensed under CC BY 4.0 license.", "This work is licensed under a Creative Commons Attribution 4.0 International License"],
+    "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
     "All-Rights-Reserved": ["All rights reserved."],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
 }
@@ -62,15 +88,41 @@ def bands(c: int, lengths: list[int]) -> int:
     return ceil(log(1 - RECALL) / log(1 - worst)) if worst < 1 else 1
 
 
-def _hitting(shingles: list[list[str]]) -> list[str]:
-    """Word pairs such that every shingle holds one: greedily, the pair that settles most."""
-    from collections import Counter
-
-    left, out = [{f"{a} {b}" for a, b in zip(s, s[1:])} for s in shingles], []
+def _hitting(templates: list[list[str]]) -> list[str]:
+    """Word pairs such that any SHARE of a template's shingles hold one: so many shingles of
+    each template hold a pair that the rest is too few to verify. Greedily, of the pairs with the
+    longest word, which are rare in other texts, the one that settles most."""
+    left = []  # of each template: the pairs of its shingles that hold none yet, and how many must
+    for w in templates:
+        shingles = {tuple(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}
+        pairs = [{f"{a} {b}" for a, b in zip(s, s[1:])} for s in sorted(shingles)]
+        left.append((pairs, len(pairs) - ceil(SHARE * len(pairs)) + 1))
+    out: list[str] = []
     while left:
-        count = Counter(p for s in left for p in s)
-        out.append(max(count, key=lambda p: (count[p], len(p), p)))
-        left = [s for s in left if out[-1] not in s]
+        count = Counter(p for shingles, _ in left for s in shingles for p in s)
+        out.append(max(count, key=lambda p: (min(8, max(map(len, p.split()))), count[p], len(p), p)))
+        rest = [([s for s in shingles if out[-1] not in s], more - sum(out[-1] in s for s in shingles)) for shingles, more in left]
+        left = [(shingles, more) for shingles, more in rest if more > 0]
+    return out
+
+
+def _may_hold(text: Column, pairs: list[str], short: list[list[str]]) -> Column:
+    """Whether a text holds the words of any pair, or all words of a short template, be it
+    within others: tells of most texts at the cost of a few searches that they match nothing."""
+    long = {}
+    for p in pairs:
+        long.setdefault(max(p.split(), key=len), set()).add(min(p.split(), key=len))
+    out = F.lit(False)
+    for word, others in sorted(long.items()):
+        near = F.lit(False)
+        for other in sorted(others):
+            near = near | F.contains(text, F.lit(other))
+        out = out | (F.contains(text, F.lit(word)) & near)
+    for words in short:
+        held = F.lit(True)
+        for word in sorted(words, key=len, reverse=True):
+            held = held & F.contains(text, F.lit(word))
+        out = out | held
     return out
 
 
@@ -123,20 +175,22 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> Data
     for _, _, w in known:
         classes.setdefault(_class(len(w)), []).append(len(w))
     size = {c: bands(c, n) for c, n in classes.items()}
-    pairs = _hitting([w[i : i + SHINGLE] for _, _, w in known for i in range(len(w) - SHINGLE + 1)])
+    pairs = _hitting([w for _, _, w in known])
     hits, firsts = (F.array(*map(F.lit, x)).cast("array<string>") for x in (pairs, sorted({p.split()[0] for p in pairs})))
     bank_row = lambda name, c, n, w: F.struct(F.lit(name).alias("license"), F.lit(c).alias("c"), F.lit(n).alias("n"), F.array(*map(F.lit, w)).alias("w"))
     rows = F.array(*[bank_row(name, 0, 1, w) for name, w in short], *[bank_row(name, _class(len(w)), size[_class(len(w))], w) for name, _, w in known])
     bank = spark.range(1).select(F.inline(rows)).withColumn("t", F.when(F.col("c") == 0, F.array(F.concat_ws(" ", "w"))).otherwise(_shingles(F.col("w"))))
     bank = bank.select("license", "c", "t", F.inline(_band_rows(F.col("t"), F.col("n"))))
 
-    # every shingle of a template holds a pair of the hitting set, so windows without one match
-    # nothing; no filter stands on these arrays, as it would compute them a second time
-    w = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}]+"), lambda x: x != "")
-    d = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("_row"), w.alias("w"))
+    # what verifies holds a pair of the hitting set, so windows without one match nothing; no
+    # filter stands on these arrays, as it would compute them a second time
+    shorts = sorted({tuple(x) for _, x in short})
+    lower = F.lower(F.coalesce("text", F.lit("")))
+    w = F.filter(F.split(lower, r"[^\p{L}\p{N}]+"), lambda x: x != "")
+    d = docs.where(_may_hold(lower, pairs, shorts)).select("doc_id", F.xxhash64("doc_id", "text").alias("_row"), w.alias("w"))
     is_hit = lambda x, i: F.when(F.array_contains(firsts, x), F.array_contains(hits, F.concat_ws(" ", x, F.get("w", i + 1))))
     d = d.withColumn("at", F.filter(F.transform("w", lambda x, i: F.when(is_hit(x, i), i)), lambda i: i.isNotNull()))
-    d = d.select("doc_id", "_row", "w", F.inline(F.concat(*[_short_places(F.col("w"), x) for x in sorted({tuple(x) for _, x in short})], *[_places(F.col("at"), c, n) for c, n in size.items()])))
+    d = d.select("doc_id", "_row", "w", F.inline(F.concat(*[_short_places(F.col("w"), x) for x in shorts], *[_places(F.col("at"), c, n) for c, n in size.items()])))
     window = F.slice("w", F.col("start") + 1, F.col("length"))
     d = d.select("doc_id", "_row", "c", "n", "start", F.when(F.col("c") == 0, F.array(F.concat_ws(" ", window))).otherwise(_shingles(window)).alias("s"))
     d = d.select("doc_id", "_row", "c", "start", "s", F.inline(_band_rows(F.col("s"), F.col("n"))))
