@@ -70,10 +70,11 @@ def _repeats(lines: list[str]) -> list[float]:
     return [0.0 if not x or x not in seen and not seen.add(x) else 1.0 for x in lines]
 
 
-def forward_backward(unary: np.ndarray, counts: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+def forward_backward(unary: np.ndarray, counts: np.ndarray, trans: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
     """(marginals of state 1, expected transitions, sum of log partition functions).
 
     unary: log-odds of state 1 for each line; all chains advance together, one line a step.
+    weight: of each line in the sum of transitions.
     """
     first = np.cumsum(counts) - counts
     order = np.argsort(-counts, kind="stable")
@@ -100,6 +101,8 @@ def forward_backward(unary: np.ndarray, counts: np.ndarray, trans: np.ndarray) -
     at = np.flatnonzero(inner)
     pair = alpha[at - 1][:, :, None] * a[None] * (psi[at] * beta[at])[:, None, :]
     pair /= pair.sum((1, 2), keepdims=True)
+    if weight is not None:
+        pair *= weight[at][:, None, None]
     return both[:, 1], pair.sum(0), float(np.log(scale).sum())
 
 
@@ -145,7 +148,9 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit(texts: list[str], quality: np.ndarray, steps: int = STEPS) -> Model:
-    """Maximum likelihood with a small quadratic penalty, by Adam on the whole sample."""
+    """Maximum likelihood with a small quadratic penalty, by Adam on the whole sample. The log
+    likelihood of a document is divided by its number of lines, so that documents count alike;
+    lines and transitions have the same weight."""
     n_features = 3 * N_OWN + 2
     if not len(texts) or len(set(quality.tolist())) < 2:  # nothing to tell apart: the base rate
         p = float(np.clip(quality.mean(), 0.05, 0.95)) if len(texts) else 0.5
@@ -154,17 +159,17 @@ def fit(texts: list[str], quality: np.ndarray, steps: int = STEPS) -> Model:
     mean, sd = x.mean(0), x.std(0) + 1e-3
     z = np.concatenate([np.clip((x - mean) / sd, -6, 6), np.ones((len(x), 1))], axis=1)
     y = np.repeat(quality, counts).astype(np.float64)
-    weight = np.repeat(1.0 / counts, counts)  # documents count alike, whatever their lines
+    weight = np.repeat(1.0 / counts, counts)
     inner = np.ones(len(y), dtype=bool)
     inner[np.cumsum(counts) - counts] = False
     at = np.flatnonzero(inner)
     seen = np.zeros((2, 2))
-    np.add.at(seen, (y[at - 1].astype(int), y[at].astype(int)), 1.0)
+    np.add.at(seen, (y[at - 1].astype(int), y[at].astype(int)), weight[at])
     w = np.zeros(z.shape[1] + 4)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
-        p, pairs, _ = forward_backward(z @ w[:-4], counts, w[-4:].reshape(2, 2))
-        g = np.r_[z.T @ ((p - y) * weight) / len(counts), (pairs - seen).ravel() / len(y)]
+        p, pairs, _ = forward_backward(z @ w[:-4], counts, w[-4:].reshape(2, 2), weight)
+        g = np.r_[z.T @ ((p - y) * weight), (pairs - seen).ravel()] / len(counts)
         g += 1e-4 * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.08 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
