@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm.common import fresh, kept_table, shared_folder, table
+from docketlake.llm.common import fresh, kept_table, parted, shared_folder, table
 from docketlake.llm.decontamination import decontaminate
 from docketlake.llm.jaccard_join import keep_one
 from docketlake.llm.mixing import mix_sources
@@ -19,7 +19,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     own = docs.withColumn(row, F.xxhash64("doc_id", "lang", "text"))
     judged = quality_rules(own.select("doc_id", "text", "lang", row), table(spark, sf_dir, "labels"), keep=(row,))
     bad = kept_table(judged.where(~F.col("kept")).select(row).distinct(), "rejected")
-    return own.join(bad, row, "left_anti").select(*docs.columns)
+    clear, rest = parted(own, row, bad.select(F.col(row).alias("key")))
+    return clear.unionByName(rest.join(bad, row, "left_anti").select(*own.columns)).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
