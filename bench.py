@@ -9,7 +9,8 @@ import time
 from docketlake.queries import QUERIES
 from docketlake.session import build_session
 
-HEADLINE = ["derive_status", "classify_actions", "document_ids", "content_duplicates", "canonical_urls", "deduped_documents", "change_feed", "quality_gate", "schedule_plan", "alerts", "failure_streaks", "event_percentiles", "bulk_batches", "frontier"]
+#: All queries of the catalogue but the one that is bound by its pairwise text comparison.
+HEADLINE = [name for name in QUERIES if name != "similar_versions"]
 
 
 def main() -> None:

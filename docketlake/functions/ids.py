@@ -72,3 +72,9 @@ def field_digest(**fields: Column) -> Column:
     for name in sorted(fields):
         parts.append(F.concat(F.lit(f"{name}="), collapse(F.coalesce(fields[name].cast("string"), F.lit("")))))
     return F.sha2(F.concat_ws("\x1f", *parts), 256)
+
+
+def short_digest(digest: Column, length: int = 12) -> Column:
+    if length <= 0:
+        raise ValueError("length must be positive")
+    return F.substring(digest, 1, length)

@@ -38,6 +38,16 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+# Typographic characters and what stands for them; the soft hyphen goes.
+_TYPOGRAPHIC = '\u2018\u2019\u201a\u201c\u201d\u201e\u2013\u2014\u2212\xa0'
+_PLAIN = '\'\'\'"""--- '
+
+
+def straight_quotes(text: Column) -> Column:
+    """Plain quotes, dashes and spaces for typographic ones."""
+    return F.translate(text, _TYPOGRAPHIC, _PLAIN)
+
+
 def clean_line(text: Column) -> Column:
     """One line: plain quotes and dashes, no soft hyphens, single spaces; null gives ''."""
     return collapse(F.translate(F.coalesce(text, F.lit("")), "‘’‚“”„–—− ­", "'''\"\"\"--- "))

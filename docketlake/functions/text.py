@@ -104,18 +104,54 @@ def parse_date(raw: Column) -> Column:
     return F.when(t.rlike(iso), safe(part(iso, 1), part(iso, 2), part(iso, 3))).when(t.rlike(compact), safe(part(compact, 1), part(compact, 2), part(compact, 3))).when(t.rlike(us), safe(full, part(us, 1), part(us, 2))).when(t.rlike(long), safe(part(long, 3), month(part(long, 1)), part(long, 2))).when(t.rlike(back), safe(part(back, 3), month(part(back, 2)), part(back, 1)))
 
 
-def canonical_url(url: Column) -> Column:
-    """Scheme and host in lower case, without user, default port, tracking parameters,
-    fragment or final slash, parameters in order. Other text is returned as it is."""
-    pattern = r"^([A-Za-z][A-Za-z0-9+.-]*)://(?:[^/@?#]*@)?([^/:?#]+)(?::([0-9]+))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
-    part = lambda i: F.regexp_extract(F.trim(url), pattern, i)
+_URL = r"^([A-Za-z][A-Za-z0-9+.-]*)://(?:[^/@?#]*@)?([^/:?#]+)(?::([0-9]+))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
+
+
+def _encoded(part: Column) -> Column:
+    """A query part decoded and encoded again: spaces as +, letters, digits and _.-~ as they are."""
+    plain = F.coalesce(F.try_url_decode(part), part)
+    return F.replace(F.replace(F.url_encode(plain), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
+
+
+def canonical_url(url: Column, drop: tuple[str, ...] = ()) -> Column:
+    """Scheme and host in lower case, without user, default port, tracking or dropped parameters,
+    fragment or final slash; parameters encoded alike and in order. Other text is only trimmed,
+    and null is empty."""
+    raw = F.trim(F.coalesce(url, F.lit("")))
+    part = lambda i: F.regexp_extract(raw, _URL, i)
     scheme, port = F.lower(part(1)), part(3)
     default = (port == "") | ((scheme == "http") & (port == "80")) | ((scheme == "https") & (port == "443"))
-    items = F.filter(F.split(part(5), "&"), lambda x: (x != "") & ~F.lower(F.element_at(F.split(x, "="), 1)).isin(TRACKING))
-    query = F.array_join(F.sort_array(items), "&")
+    pairs = F.transform(F.filter(F.split(part(5), "&"), lambda x: x != ""), lambda x: F.struct(_encoded(F.substring_index(x, "=", 1)).alias("k"), F.when(F.contains(x, F.lit("=")), _encoded(F.substring(x, F.locate("=", x) + 1, F.length(x)))).otherwise("").alias("v")))
+    unwanted = [*TRACKING, *(d.lower() for d in drop)]
+    kept = F.array_sort(F.filter(pairs, lambda p: ~F.lower(p["k"]).isin(unwanted)))
+    query = F.array_join(F.transform(kept, lambda p: F.concat_ws("=", p["k"], p["v"])), "&")
     path = F.regexp_replace(part(4), "/+$", "")
     out = F.concat(scheme, F.lit("://"), F.lower(part(2)), F.when(default, "").otherwise(F.concat(F.lit(":"), port)), F.when(path == "", "/").otherwise(path), F.when(query == "", "").otherwise(F.concat(F.lit("?"), query)))
-    return F.when(F.trim(url).rlike(pattern), out).otherwise(url)
+    return F.when(raw.rlike(_URL), out).otherwise(raw)
+
+
+def registrable_host(url: Column) -> Column:
+    """Host in lower case without user and port; empty for other text."""
+    return F.lower(F.regexp_extract(F.trim(F.coalesce(url, F.lit(""))), _URL, 2))
+
+
+def strip_params(url: Column, params: tuple[str, ...]) -> Column:
+    return canonical_url(url, params)
+
+
+def absolutise(base: Column, href: Column) -> Column:
+    """An address resolved against a page's: absolute, without scheme, from the root, or beside
+    the page, with . and .. taken away; canonical."""
+    h = F.trim(F.coalesce(href, F.lit("")))
+    root = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    folder = F.regexp_replace(path, "[^/]*$", "")
+    tail = F.regexp_extract(h, r"([?#].*)$", 1)
+    joined = F.when(h.startswith("/"), F.regexp_replace(h, r"[?#].*$", "")).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), F.regexp_replace(h, r"[?#].*$", "")))
+    steps = F.aggregate(F.split(joined, "/"), F.array().cast("array<string>"), lambda a, x: F.when(x == "..", F.slice(a, F.lit(1), F.greatest(F.lit(1), F.size(a) - 1))).when(x == ".", a).otherwise(F.concat(a, F.array(x))))
+    beside = F.when(h.startswith("?"), F.concat(root, path, h)).when(h.startswith("#"), base).otherwise(F.concat(root, F.array_join(steps, "/"), tail))
+    full = F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h).when(h.startswith("//"), F.concat(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), h)).otherwise(beside)
+    return F.when(h == "", "").otherwise(canonical_url(full))
 
 
 def same_site(a: Column, b: Column) -> Column:
@@ -132,3 +168,78 @@ def subject(raw: Column) -> Column:
     longest = sorted((x for x in order if len(x[0]) >= 5), key=lambda x: -len(x[0]))
     held = F.coalesce(*[F.when(F.contains(key, F.lit(p)), F.lit(s)) for p, s in longest])
     return F.coalesce(F.try_element_at(exact, key), held)
+
+
+# Headings of sections, and the marks that may lead a line.
+SECTION = r"(?im)^[\s&&[^\n]]*(SECTION\s+\d+[A-Z]?\.|Sec\.\s*\d+[A-Z]?\.|ARTICLE\s+[IVXLC]+\.?)\s*"
+ENUMERATOR = r"^\s*(?:\(?[a-zA-Z0-9ivxIVX]{1,5}[\)\.]|SECTION\s+\d+\.|Sec\.\s*\d+\.)\s+"
+
+
+def strip_leading_enumerator(line: Column) -> Column:
+    return F.trim(F.regexp_replace(line, ENUMERATOR, ""))
+
+
+def split_sections(text: Column) -> Column:
+    """(heading, body) of each section of a cleaned text: what stands before the first heading is
+    the preamble, a text without headings one body, an empty text nothing."""
+    mark = "\x1d"
+    parts = F.split(F.regexp_replace(text, SECTION, f"{mark}$1\x1e"), mark)
+    first = F.trim(F.get(parts, F.lit(0)))
+    rest = F.transform(F.slice(parts, 2, 1 << 30), lambda p: F.struct(F.rtrim(F.trim(F.substring_index(p, "\x1e", 1))).alias("heading"), strip_leading_enumerator(F.btrim(F.substring_index(p, "\x1e", -1), F.lit(" \n\t"))).alias("body")))
+    rest = F.filter(F.transform(rest, lambda p: F.struct(F.regexp_replace(p["heading"], r"\.+$", "").alias("heading"), p["body"].alias("body"))), lambda p: p["body"] != "")
+    whole = F.array(F.struct(F.lit("body").alias("heading"), F.btrim(text, F.lit(" \n\t")).alias("body")))
+    lead = F.when(F.btrim(first, F.lit(" \n\t")) != "", F.array(F.struct(F.lit("preamble").alias("heading"), F.btrim(first, F.lit(" \n\t")).alias("body")))).otherwise(F.slice(whole, 1, 0))
+    return F.when(F.trim(F.coalesce(text, F.lit(""))) == "", F.slice(whole, 1, 0)).when(F.size(parts) == 1, whole).otherwise(F.concat(lead, rest))
+
+
+def dedent_block(text: Column) -> Column:
+    """A block without the indentation that all its lines with text share."""
+    lines = F.split(text, r"\r\n|\n|\r")
+    widths = F.transform(F.filter(lines, lambda x: F.trim(x) != ""), lambda x: F.length(x) - F.length(F.ltrim(x)))
+    cut = F.array_min(widths)
+    out = F.array_join(F.transform(lines, lambda x: F.when(F.trim(x) != "", F.substring(x, cut + 1, F.length(x))).otherwise("")), "\n")
+    return F.when(F.size(widths) == 0, F.trim(text)).otherwise(F.btrim(out, F.lit("\n")))
+
+
+def parse_datetime(raw: Column) -> Column:
+    """ISO timestamps, else a date with the first time that follows it, as UTC; a date alone is
+    its midnight."""
+    t = collapse(raw)
+    iso = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"), F.try_to_timestamp(F.regexp_replace(t, "Z$", "+00:00")))
+    day = parse_date(raw)
+    time = r"\b(\d{1,2}):(\d{2})(?::(\d{2}))?"
+    part = lambda i: F.coalesce(F.regexp_extract(t, time, i).try_cast("int"), F.lit(0))
+    fits = t.rlike(time) & (part(1) < 24) & (part(2) < 60) & (part(3) < 60)
+    seconds = F.when(fits, part(1) * 3600 + part(2) * 60 + part(3)).otherwise(0)
+    return F.coalesce(iso, F.timestamp_seconds(F.unix_timestamp(day.cast("timestamp")) + seconds))
+
+
+def iso_format(at: Column) -> Column:
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def day_range(start: Column, end: Column) -> Column:
+    """Days from start to end, both included; none if they are inverted."""
+    return F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<date>"))
+
+
+def clamp_date(day: Column, low: Column, high: Column) -> Column:
+    return F.least(F.greatest(day, low), high)
+
+
+def clean_text(text: Column) -> Column:
+    """NFKC, plain quotes, no soft hyphens, lines collapsed with paragraphs kept."""
+    from .names import straight_quotes
+    from .udfs import nfkc
+
+    wide = F.octet_length(text) != F.length(text)
+    t = F.when(wide, nfkc(F.when(wide, text))).otherwise(text)
+    return collapse_lines(F.replace(straight_quotes(t), F.lit("\u00ad"), F.lit("")))
+
+
+def extract_body_text(body: Column, kind: Column | None = None) -> Column:
+    """Readable text of markup or plain text; null for the kinds that need converting first."""
+    kind = content_kind(body) if kind is None else kind
+    t = body.cast("string")
+    t = F.when(kind.isin("html", "xml"), strip_tags(F.when(kind.isin("html", "xml"), t))).otherwise(t)
+    return F.when(~kind.isin("pdf", "rtf", "doc", "zip"), clean_text(strip_line_numbers(t)))

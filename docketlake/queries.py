@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import state_queries as more
 from .functions import docket, ids, text
 from .operators import documents as ops
 from .plans import orchestration as plan
@@ -109,16 +110,14 @@ def deduped_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def change_feed(spark: SparkSession, d: str) -> DataFrame:
+    """Status before and after a day, from a single scan and shuffle of the docket."""
     lines = _docket(spark, d).withColumn("implied", docket.status_from_action(F.col("description")))
-
-    def snapshot(rows: DataFrame, name: str) -> DataFrame:
-        agg = docket.derive_status(F.col("implied"), F.col("occurred_on"), F.col("sequence"), F.col("description"))
-        return rows.groupBy("l_orderkey").agg(agg.alias(name), F.count("*").alias(f"n_{name}"))
-
-    now, before = snapshot(lines, "cur"), snapshot(lines.where("occurred_on < date '1997-01-01'"), "prev")
-    both = now.join(before, "l_orderkey", "left")
-    kind = ops.change_kind(F.col("prev").isNotNull(), F.coalesce("prev", F.lit("unknown")), F.col("cur"), F.lit(False), F.lit(1.0), F.col("n_cur") > F.col("n_prev"))
-    return both.select("l_orderkey", F.col("prev").alias("previous_status"), F.col("cur").alias("status"), (F.col("n_cur") - F.coalesce("n_prev", F.lit(0))).alias("new_actions"), kind.alias("kind"))
+    before = F.col("occurred_on") < F.lit("1997-01-01").cast("date")
+    status = lambda c: docket.derive_status(c, F.col("occurred_on"), F.col("sequence"), F.col("description"))
+    both = lines.groupBy("l_orderkey").agg(status(F.col("implied")).alias("cur"), F.count("*").alias("n_cur"), status(F.when(before, F.col("implied"))).alias("prev"), F.count_if(before).alias("n_prev"))
+    prev = F.when(F.col("n_prev") > 0, F.col("prev"))
+    kind = ops.change_kind(F.col("n_prev") > 0, F.col("prev"), F.col("cur"), F.lit(False), F.lit(1.0), F.col("n_cur") > F.col("n_prev"))
+    return both.select("l_orderkey", prev.alias("previous_status"), F.col("cur").alias("status"), (F.col("n_cur") - F.col("n_prev")).alias("new_actions"), kind.alias("kind"))
 
 
 def _batch(spark: SparkSession, d: str) -> DataFrame:
@@ -234,12 +233,22 @@ _URL = """case when regexp_matches(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://') the
   case when rtrim(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/') = '' then '/' else rtrim(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/') end ||
   coalesce(nullif('?' || array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '[?]([^#]*)', 1), '&'), lambda x: x <> '' and lower(string_split(x, '=')[1]) not in (""" + ", ".join(repr(t) for t in text.TRACKING) + """))), '&'), '?'), '') else url end"""
 
+_LONG = "'title missing or implausibly short', title, 'at least 8 characters'"
+_FINDINGS = f"""b as (select o_orderkey as k, o_orderdate::date as d, case when o_orderkey % 11 = 0 then '' else o_orderkey::varchar end as identifier, case when o_orderkey % 7 = 0 then '' when o_orderkey % 5 = 0 then 'short' else 'A longer title' end as title, * from orders), f as (
+ select 'identifier_present' as "check", 'error' as severity, k, 'identifier is too short to be a bill designator' as message, identifier as observed, null::varchar as expected from b where length(identifier) < 2
+ union all select 'title_present', case when title = '' then 'error' else 'warn' end, k, {_LONG} from b where length(title) < 8
+ union all select 'dates_plausible', 'error', k, l || ' is in the future', d::varchar, null from b, (values ('introduced_on'), ('last_action_on')) t(l) where d > date '1998-01-04'
+ union all select 'status_supported', 'warn', k, 'status set but no actions were captured', 'introduced', null from b where o_orderstatus <> 'O' and k % 3 = 0
+ union all select 'chamber_known', 'warn', k, 'chamber could not be determined', identifier, null from b where o_orderstatus = 'P'
+ union all select 'sponsor_sanity', 'warn', k, 'more than one primary sponsor', (o_custkey % 3)::varchar, '1' from b where o_custkey % 3 > 1
+ union all select 'sponsor_sanity', 'info', k, 'bill has no sponsors', null, null from b where o_custkey % 4 = 0
+ union all select 'no_duplicate_ids', 'error', k, 'document id appears more than once in the batch', count(*)::varchar, '1' from b group by k having count(*) > 1)"""
+
 SQL = {
     "derive_status": f"with {_DOCKET}, d as ({_DERIVED.format(cols='', where='')}) select l_orderkey, coalesce(st, 'unknown') as status, n as n_actions, {docket.sql_rank(chr(99) + chr(111) + 'alesce(st, ' + repr('unknown') + ')')}::integer as status_rank from d",
     "classify_actions": f"with {_DOCKET} select kind, case when s = 'passage' then case when coalesce(case when l_returnflag = 'A' then 'upper' end, case when regexp_matches(lower(description), 'senate') then 'upper' when regexp_matches(lower(description), 'house|assembly') then 'lower' end) <> 'lower' then 'passed_second' else 'passed_origin' end else s end as status, count(*) as n from (select *, {docket.sql_case('description', 1, repr('unknown'))} as kind, {docket.sql_case('description', 2, 'null')} as s from docket) group by all",
     "document_ids": f"with c as (select o_orderkey, 'zz-' || strftime(o_orderdate, '%Y') || '-HB' || o_orderkey as citation, substr(sha1('zz|' || o_orderstatus || '|' || o_orderkey), 1, 24) as run_id from orders), h as (select *, sha1(unhex('{ids.NAMESPACE}') || encode('bill::' || citation)) as h from c) select o_orderkey, citation, run_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || lower(to_hex((('0x' || substr(h, 17, 2))::integer & 63) | 128)) || substr(h, 19, 2) || '-' || substr(h, 21, 12) as document_id from h",
     "content_duplicates": "select sha256(text) as digest, count(*) as n, min(doc_id) as first_doc_id from documents group by 1 having count(*) > 1",
-    "semantic_digests": "select doc_id, sha256(lower(trim(regexp_replace(" + "".join("regexp_replace(" for _ in ids.VOLATILE) + "text" + "".join(f", '{p}', ' ', 'g')" for p in ids.VOLATILE) + r", '\s+', ' ', 'g')))) as digest from documents where strlen(text) = length(text)",
     "field_digests": r"select c_custkey, sha256('name=' || trim(c_name) || chr(31) || 'nation=' || c_nationkey || chr(31) || 'segment=' || trim(c_mktsegment)) as digest from customer",
     "canonical_urls": f"select {_URL} as canonical, count(*) as n_pages, min(page_id) as first_page from pages group by 1",
     "parsed_dates": "select o_orderkey, o_orderdate::date::varchar as parsed from orders",
@@ -247,15 +256,9 @@ SQL = {
     "split_cells": "select p_partkey, p_name || '/' || p_type || '/' || p_brand as items from part",
     "subjects": "select raw, count(*) as n, case raw when 'Public Health -- Hospitals' then 'health' when 'K-12 Schools' then 'education' when 'Motor Vehicles (Title 3)' then 'transportation' when 'State income tax relief' then 'revenue' when 'Police; fire' then 'public-safety' end as subject from (select ['Public Health -- Hospitals', 'K-12 Schools', 'Motor Vehicles (Title 3)', 'State income tax relief', 'Weather', 'Police; fire'][(p_partkey % 6)::int + 1] as raw from part) group by all",
     "merged_actions": f"with {_DOCKET} select l_orderkey, count(*) as n_actions, count(c) as n_chambers from (select l_orderkey, occurred_on, lower(description), max(case when l_returnflag <> 'N' then l_returnflag end) as c from docket group by all) group by 1",
-    "deduped_documents": "with o as (select l_orderkey as document_id, case when l_returnflag = 'A' then 'Act ' || l_partkey else '' end as title, case when l_linestatus = 'F' then 's' || l_suppkey end as summary, l_shipdate::date as d, l_linenumber as n, -(l_partkey * 10000 + l_suppkey) as o from lineitem), s as (select *, (n, (summary is not null)::int, length(title), o) as score from o) select document_id, arg_max(title, score) as title, arg_max(summary, score) filter (where summary is not null) as summary, min(d)::varchar as introduced_on, max(d)::varchar as last_action_on, count(*) as n_merged from s group by 1",
-    "change_feed": f"with {_DOCKET}, cur as ({_DERIVED.format(cols='', where='')}), prev as ({_DERIVED.format(cols='', where=chr(119) + 'here occurred_on < date ' + repr('1997-01-01'))}), b as (select c.l_orderkey, case when p.l_orderkey is not null then coalesce(p.st, 'unknown') end as previous_status, coalesce(c.st, 'unknown') as status, c.n - coalesce(p.n, 0) as new_actions from cur c left join prev p using (l_orderkey)) select *, case when previous_status is null then 'new' when status = 'withdrawn' and previous_status <> 'withdrawn' then 'withdrawn' when previous_status <> status then case when previous_status in {tuple(docket.TERMINAL)!r} and status not in {tuple(docket.TERMINAL)!r} then 'regressed' when {docket.sql_rank('status')} > {docket.sql_rank('previous_status')} then 'advanced' else 'regressed' end when new_actions > 0 then 'metadata_only' else 'unchanged' end as kind from b",
-    "quality_findings": """with b as (select o_orderkey as k, o_orderdate::date as d, * from orders), f as (
- select 'identifier_present' as "check", 'error' as severity, k from b where k % 11 = 0 or length(k::varchar) < 2
- union all select 'title_present', 'error', k from b where k % 7 = 0 union all select 'title_present', 'warn', k from b where k % 7 <> 0 and k % 5 = 0
- union all select 'dates_plausible', 'error', k from b where d > date '1998-01-04' union all select 'status_supported', 'warn', k from b where o_orderstatus <> 'O' and k % 3 = 0
- union all select 'chamber_known', 'warn', k from b where o_orderstatus = 'P' union all select 'sponsor_sanity', 'warn', k from b where o_custkey % 3 > 1
- union all select 'sponsor_sanity', 'info', k from b where o_custkey % 4 = 0 union all select 'no_duplicate_ids', 'error', k from b group by k having count(*) > 1)
- select "check", severity, count(*) as n, min(k) as first_subject from f group by all""",
+    "deduped_documents": "with o as (select l_orderkey as document_id, case when l_returnflag = 'A' then 'Act ' || l_partkey else '' end as title, case when l_linestatus = 'F' then 's' || l_suppkey end as summary, l_shipdate::date as d, l_linenumber as n, -(l_partkey * 10000 + l_suppkey) as o from lineitem), s as (select *, (n, (summary is not null)::int, length(title), o) as score from o) select document_id, coalesce(arg_max(title, score) filter (where title <> ''), '') as title, arg_max(summary, score) filter (where summary is not null) as summary, min(d)::varchar as introduced_on, max(d)::varchar as last_action_on, count(*) as n_merged from s group by 1",
+    "change_feed": f"with {_DOCKET}, cur as ({_DERIVED.format(cols='', where='')}), prev as ({_DERIVED.format(cols='', where=chr(119) + 'here occurred_on < date ' + repr('1997-01-01'))}), b as (select c.l_orderkey, case when p.l_orderkey is not null then coalesce(p.st, 'unknown') end as previous_status, coalesce(c.st, 'unknown') as status, c.n - coalesce(p.n, 0) as new_actions from cur c left join prev p using (l_orderkey)) select *, case when previous_status is null then 'new' when status = 'withdrawn' and previous_status <> 'withdrawn' then 'withdrawn' when previous_status <> status then case when previous_status in {tuple(docket.TERMINAL)!r} and status not in {tuple(docket.TERMINAL)!r} then 'status_regressed' when {docket.sql_rank('status')} > {docket.sql_rank('previous_status')} then 'status_advanced' else 'status_regressed' end when new_actions > 0 then 'metadata_only' else 'unchanged' end as kind from b",
+    "quality_findings": f"with {_FINDINGS} select \"check\", severity, count(*) as n, min(k) as first_subject from f group by all",
     "watermarks": f"with {_MARKS} select jurisdiction, strftime(o, '%Y-%m-%d %H:%M:%S') || case when o <> date_trunc('second', o) then rtrim(strftime(o, '.%f'), '0') else '' end as observed_through, {_LAG} as lag_seconds, 1 as revision from marks",
     "schedule_plan": f"with {_MARKS}, {_PLACES}, s as (select code, method, case when o is null then 1e300 when {_LAG} < 900 then 0 else {_LAG} * case when large then 1.5 else 1.0 end end as score from places left join marks on code = jurisdiction), r as (select *, row_number() over (partition by method order by score desc, code) as b from s where score > 0) select code, method from r where method <> 'browser' or b <= 2 order by score desc, code limit 8",
     "run_summary": f"with {_RUNS} select jurisdiction, 0::bigint as pending, 0::bigint as running, count(*) filter (where state = 'succeeded') as succeeded, count(*) filter (where state = 'partial') as partial, count(*) filter (where state = 'failed') as failed, 0::bigint as abandoned, count(*) as documents_written from runs group by 1",
@@ -267,6 +270,8 @@ SQL = {
     "retry_classes": "select status, kind, count(*) as n from (select status, case when status = 503 then 'rate_limited' when status = 200 and octet_length(encode(html)) < 512 then 'unavailable' else 'ok' end as kind from (select *, case when page_id % 10 = 0 then 503 when page_id % 7 = 0 then 404 else 200 end as status from pages)) group by all",
     "frontier": f"with u as (select page_id, {_URL} as url from pages) select url, min(page_id) as ord, min(page_id) % 3 as priority from u where url not in (select url from u where page_id % 4 = 0) group by url",
 }
-SQL["quality_gate"] = f"select 0::bigint as critical, coalesce(sum(n) filter (where severity = 'error'), 0)::bigint as error, coalesce(sum(n) filter (where severity = 'warn'), 0)::bigint as warn, coalesce(sum(n) filter (where severity = 'info'), 0)::bigint as info, (select count(*) from orders) as documents, coalesce(sum(n) filter (where severity = 'error'), 0) <= 0.02 * (select count(*) from orders) as passed from ({SQL['quality_findings']})"
+SQL["quality_gate"] = f"with {_FINDINGS}, c as (select 0::bigint as critical, count(*) filter (where severity = 'error') as error, count(*) filter (where severity = 'warn') as warn, count(*) filter (where severity = 'info') as info, (select count(*) from orders) as documents from f) select *, error <= 0.02 * documents as passed, case when error <= 0.02 * documents then '' else (select string_agg(distinct \"check\", ',' order by \"check\") from f where severity = 'error') || ',error_rate' end as blocked_by, case when error > 0 then 'error' when warn > 0 then 'warn' else 'info' end as worst from c"
 SQL["alerts"] = f"with {_MARKS}, {_PLACES}, st as ({SQL['failure_streaks']}), a as (select code as jurisdiction, case when o is null then 'never_ingested' else 'stale' end as rule, case when o is null or {_LAG} >= 86400 then 'critical' when {_LAG} >= 21600 then 'warn' end as severity from places left join marks on code = jurisdiction union all select code, 'failing', case when streak >= 4 then 'critical' when streak >= 2 then 'warn' end from places left join st on code = jurisdiction) select * from a where severity is not null"
 SQL["backfill_plan"] = "with n as (select lower(n_name) as jurisdiction, n_nationkey % 3 + 2018 as f, n_regionkey % 2 = 0 as b from nation), y as (select jurisdiction, b, unnest(generate_series(case when b and f % 2 = 0 then f - 1 else f end, 2021, case when b then 2 else 1 end)) as y from n), s as (select jurisdiction, case when b then y || '-' || (y + 1) else y::varchar end as session, make_date(y, 1, 1) as a, least(make_date(case when b then y + 1 else y end, 12, 31), date '2021-05-10') as z from y), c as (select *, unnest(generate_series(a, z, interval 30 days))::date as start from s where a <= z) select jurisdiction, session, start::varchar as start, least(start + 29, z)::varchar as \"end\" from c"
+QUERIES |= more.QUERIES
+SQL |= more.sql(_URL, _PLACES, _FINDINGS)
