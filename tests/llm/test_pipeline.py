@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from docketlake.llm import jaccard_join
-from tests.llm.test_jaccard_brute import components_of
+from test_jaccard_brute import components_of
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
