@@ -14,6 +14,7 @@ lost executor writes the same bytes under the same name.
 from __future__ import annotations
 
 import json
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -31,9 +32,9 @@ MAGIC = b"DKTTOK01"
 END_ID = 2
 SHARD_BYTES = 32 << 20
 #: Bounds of a worker's cache of encoded pieces; it is emptied when full.
-CACHE_PIECES = 400_000
-CACHE_BYTES = 24 << 20
-ENCODE_BYTES = 2 << 20
+CACHE_PIECES = 200_000
+CACHE_BYTES = 16 << 20
+ENCODE_BYTES = 1 << 20
 LINE_PIECES = 1000
 #: Documents whose boundaries are selected at a time when a shard is read.
 READ_DOCS = 1 << 14
@@ -138,6 +139,8 @@ class PieceEncoder:
         import regex
         from tokenizers import Tokenizer
 
+        # a task has one core: threads of the library would take others', and their memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
