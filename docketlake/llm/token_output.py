@@ -32,9 +32,9 @@ MAGIC = b"DKTTOK01"
 END_ID = 2
 SHARD_BYTES = 32 << 20
 #: Bounds of a worker's cache of encoded pieces; it is emptied when full.
-CACHE_PIECES = 200_000
-CACHE_BYTES = 16 << 20
-ENCODE_BYTES = 1 << 20
+CACHE_PIECES = 800_000
+CACHE_BYTES = 32 << 20
+ENCODE_BYTES = 2 << 20
 LINE_PIECES = 1000
 #: Documents whose boundaries are selected at a time when a shard is read.
 READ_DOCS = 1 << 14
