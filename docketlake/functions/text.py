@@ -162,12 +162,34 @@ def same_site(a: Column, b: Column) -> Column:
 def subject(raw: Column) -> Column:
     """Canonical subject: exact phrase, else the longest phrase of five letters or more that
     the text holds (the earlier on ties), else null."""
+    from .names import let
+
     key = F.trim(F.regexp_replace(F.regexp_replace(F.lower(collapse(raw)), r"(?:--|\(|;).*$", ""), r"[^\w]+", " "))
     order = [(p, s) for s, ps in SUBJECTS.items() for p in ps]
     exact = F.create_map(*[F.lit(x) for p, s in order for x in (p, s)])
     longest = sorted((x for x in order if len(x[0]) >= 5), key=lambda x: -len(x[0]))
-    held = F.coalesce(*[F.when(F.contains(key, F.lit(p)), F.lit(s)) for p, s in longest])
-    return F.coalesce(F.try_element_at(exact, key), held)
+    phrases = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(s).alias("s")) for p, s in longest])
+    return let(key, lambda k: F.coalesce(F.try_element_at(exact, k), F.get(F.filter(phrases, lambda x: F.contains(k, x["p"])), F.lit(0))["s"]))
+
+
+def subject_list(cells: Column) -> Column:
+    """struct(subjects, unmapped): canonical subjects in order, and the collapsed texts that have
+    none, as first seen. Null and blank cells are left out."""
+    from .names import let
+
+    def split(told: Column) -> Column:
+        held = F.array_sort(F.array_distinct(F.filter(F.transform(told, lambda t: t["s"]), lambda s: s.isNotNull())))
+        other = F.filter(told, lambda t: t["s"].isNull() & (t["c"] != ""))
+        return F.struct(held.alias("subjects"), F.array_distinct(F.transform(other, lambda t: t["c"])).alias("unmapped"))
+
+    clean = F.filter(F.coalesce(cells, F.array().cast("array<string>")), lambda c: c.isNotNull())
+    return let(F.transform(clean, lambda c: F.struct(collapse(c).alias("c"), subject(c).alias("s"))), split)
+
+
+def subject_aliases(canonical: Column) -> Column:
+    """Phrases of a canonical subject; none for others."""
+    held = F.create_map(*[x for s, ps in SUBJECTS.items() for x in (F.lit(s), F.array(*map(F.lit, ps)))])
+    return F.coalesce(F.try_element_at(held, canonical), F.array().cast("array<string>"))
 
 
 # Headings of sections, and the marks that may lead a line.

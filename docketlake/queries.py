@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import source_queries
 from . import state_queries as more
 from .functions import docket, ids, text
 from .operators import documents as ops
@@ -273,5 +274,5 @@ SQL = {
 SQL["quality_gate"] = f"with {_FINDINGS}, c as (select 0::bigint as critical, count(*) filter (where severity = 'error') as error, count(*) filter (where severity = 'warn') as warn, count(*) filter (where severity = 'info') as info, (select count(*) from orders) as documents from f) select *, error <= 0.02 * documents as passed, case when error <= 0.02 * documents then '' else (select string_agg(distinct \"check\", ',' order by \"check\") from f where severity = 'error') || ',error_rate' end as blocked_by, case when error > 0 then 'error' when warn > 0 then 'warn' else 'info' end as worst from c"
 SQL["alerts"] = f"with {_MARKS}, {_PLACES}, st as ({SQL['failure_streaks']}), a as (select code as jurisdiction, case when o is null then 'never_ingested' else 'stale' end as rule, case when o is null or {_LAG} >= 86400 then 'critical' when {_LAG} >= 21600 then 'warn' end as severity from places left join marks on code = jurisdiction union all select code, 'failing', case when streak >= 4 then 'critical' when streak >= 2 then 'warn' end from places left join st on code = jurisdiction) select * from a where severity is not null"
 SQL["backfill_plan"] = "with n as (select lower(n_name) as jurisdiction, n_nationkey % 3 + 2018 as f, n_regionkey % 2 = 0 as b from nation), y as (select jurisdiction, b, unnest(generate_series(case when b and f % 2 = 0 then f - 1 else f end, 2021, case when b then 2 else 1 end)) as y from n), s as (select jurisdiction, case when b then y || '-' || (y + 1) else y::varchar end as session, make_date(y, 1, 1) as a, least(make_date(case when b then y + 1 else y end, 12, 31), date '2021-05-10') as z from y), c as (select *, unnest(generate_series(a, z, interval 30 days))::date as start from s where a <= z) select jurisdiction, session, start::varchar as start, least(start + 29, z)::varchar as \"end\" from c"
-QUERIES |= more.QUERIES
-SQL |= more.sql(_URL, _PLACES, _FINDINGS)
+QUERIES |= more.QUERIES | source_queries.QUERIES
+SQL |= more.sql(_URL, _PLACES, _FINDINGS) | source_queries.SQL

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,12 +27,38 @@ def api_items(pages: DataFrame, item_schema: str, column: str = "body") -> tuple
     return good.select("*", F.inline("_p.items")).drop("_p"), parsed.where("_p is null or _p.items is null").select(column, F.lit("missing envelope").alias("error"))
 
 
-def archive_keys(fetches: DataFrame) -> DataFrame:
+def archive_keys(fetches: DataFrame, prefix: str = "raw") -> DataFrame:
     """Keys of raw payloads: jurisdiction, day of the fetch (1970-01-01 if none), digest."""
     day = F.coalesce(F.to_date("fetched_at"), F.lit("1970-01-01").cast("date")).cast("string")
-    return fetches.withColumn("key", F.concat(F.lit("raw/"), F.lower("jurisdiction"), F.lit("/"), day, F.lit("/"), F.sha2("body", 256), F.lit(".bin")))
+    return fetches.withColumn("key", F.concat(F.lit(f"{prefix or 'raw'}/"), F.lower("jurisdiction"), F.lit("/"), day, F.lit("/"), F.sha2("body", 256), F.lit(".bin")))
 
 
-def new_objects(fetches: DataFrame, existing: DataFrame) -> DataFrame:
-    """Fetches whose key isn't stored, one for each key."""
-    return archive_keys(fetches).dropDuplicates(["key"]).join(existing.select("key"), "key", "left_anti")
+def manifest_key(jurisdiction: Column, day: Column, run_id: Column) -> Column:
+    """Key of the list of objects that a run wrote."""
+    return F.concat(F.lit("manifests/"), F.lower(jurisdiction), F.lit("/"), day.cast("string"), F.lit("/"), run_id, F.lit(".json"))
+
+
+def archivable(fetches: DataFrame) -> DataFrame:
+    """Successful responses only."""
+    return fetches.where("status between 200 and 299")
+
+
+def new_objects(fetches: DataFrame, existing: DataFrame, prefix: str = "raw") -> DataFrame:
+    """Fetches whose key isn't stored, one for each key. An empty body fails the write."""
+    refused = F.raise_error(F.lit("refusing to archive an empty body")).cast("binary")
+    body = F.when(F.octet_length("body") > 0, F.col("body").cast("binary")).otherwise(refused)
+    return archive_keys(fetches.withColumn("body", body), prefix).dropDuplicates(["key"]).join(existing.select("key"), "key", "left_anti")
+
+
+def archive_stats(fetches: DataFrame, existing: DataFrame) -> DataFrame:
+    """written, skipped, objects of a write of ``fetches``."""
+    keys = archive_keys(fetches).groupBy("key").agg(F.count("*").alias("n"))
+    stored = existing.select("key", F.lit(True).alias("stored")).distinct()
+    n = keys.join(stored, "key", "left").agg(F.count_if(F.col("stored").isNull()).alias("written"), F.coalesce(F.sum("n"), F.lit(0)).alias("objects"))
+    return n.select("written", (F.col("objects") - F.col("written")).alias("skipped"), "objects")
+
+
+def write_archive(fetches: DataFrame, path: str, existing: DataFrame) -> None:
+    """Append new objects under ``path``, by jurisdiction and day."""
+    d = new_objects(archivable(fetches), existing).withColumns({"jurisdiction": F.lower("jurisdiction"), "day": F.split("key", "/")[2]})
+    d.write.mode("append").partitionBy("jurisdiction", "day").parquet(path)
