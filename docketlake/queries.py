@@ -160,8 +160,14 @@ def schedule_plan(spark: SparkSession, d: str) -> DataFrame:
     return plan.schedule(_places(spark, d), _marks(spark, d), F.lit(AS_OF).cast("timestamp")).select("code", "method")
 
 
+def schedule_decisions(spark: SparkSession, d: str) -> DataFrame:
+    out = plan.schedule_decisions(_places(spark, d), _marks(spark, d), F.lit(AS_OF).cast("timestamp"))
+    return out.withColumn("lag", F.coalesce("lag", F.lit(-1)))
+
+
 def alerts(spark: SparkSession, d: str) -> DataFrame:
-    return plan.alerts(_places(spark, d), _marks(spark, d), _runs(spark, d), F.lit(AS_OF).cast("timestamp"))
+    found = plan.alerts(_places(spark, d), _marks(spark, d), _runs(spark, d), F.lit(AS_OF).cast("timestamp"))
+    return found.withColumn("value", F.coalesce(F.col("value").cast("long"), F.lit(-1)))
 
 
 def run_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -172,9 +178,17 @@ def failure_streaks(spark: SparkSession, d: str) -> DataFrame:
     return plan.failure_streaks(_runs(spark, d))
 
 
-def backfill_plan(spark: SparkSession, d: str) -> DataFrame:
+def _slices(spark: SparkSession, d: str, **more) -> DataFrame:
     n = table(spark, d, "nation").select(F.lower("n_name").alias("jurisdiction"), (F.col("n_nationkey") % 3 + 2018).alias("from_year"), (F.col("n_regionkey") % 2 == 0).alias("biennial"))
-    return plan.backfill(n, F.lit("2021-05-10").cast("date")).select("jurisdiction", "session", F.col("start").cast("string").alias("start"), F.col("end").cast("string").alias("end"))
+    return plan.backfill(n, F.lit("2021-05-10").cast("date"), **more)
+
+
+def backfill_plan(spark: SparkSession, d: str) -> DataFrame:
+    return _slices(spark, d).select("jurisdiction", "session", F.col("start").cast("string").alias("start"), F.col("end").cast("string").alias("end"))
+
+
+def next_slices(spark: SparkSession, d: str) -> DataFrame:
+    return plan.take(_slices(spark, d, max_slices=3), 40).select("jurisdiction", "session", F.col("start").cast("string").alias("start"))
 
 
 def event_percentiles(spark: SparkSession, d: str) -> DataFrame:
@@ -223,7 +237,7 @@ def similar_versions(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select("conv_id", "turn", F.when(differs, text_similarity(F.when(differs, F.col("text")), F.when(differs, F.col("next")))).otherwise(1.0).alias("similarity"))
 
 
-QUERIES = {f.__name__: f for f in (derive_status, classify_actions, document_ids, content_duplicates, semantic_digests, field_digests, canonical_urls, stripped_pages, parsed_dates, truncated_texts, split_cells, subjects, merged_actions, deduped_documents, change_feed, quality_findings, quality_gate, watermarks, schedule_plan, alerts, run_summary, failure_streaks, backfill_plan, event_percentiles, action_rows, search_index, bulk_batches, retry_classes, frontier, token_bucket, similar_versions)}
+QUERIES = {f.__name__: f for f in (derive_status, classify_actions, document_ids, content_duplicates, semantic_digests, field_digests, canonical_urls, stripped_pages, parsed_dates, truncated_texts, split_cells, subjects, merged_actions, deduped_documents, change_feed, quality_findings, quality_gate, watermarks, schedule_plan, schedule_decisions, alerts, run_summary, failure_streaks, backfill_plan, next_slices, event_percentiles, action_rows, search_index, bulk_batches, retry_classes, frontier, token_bucket, similar_versions)}
 
 _DERIVED = f"select l_orderkey, {{cols}} arg_max(s, (occurred_on, sequence, {docket.sql_rank('s')}, description)) filter (where s is not null) as st, count(*) as n from (select *, {_STATUS} as s from docket {{where}}) group by l_orderkey"
 _RUNS = "runs as (select user_id::varchar as jurisdiction, event_id as run_id, case event_type when 'purchase' then 'failed' when 'click' then 'partial' else 'succeeded' end as state, ts as started_at from events)"
@@ -272,7 +286,9 @@ SQL = {
     "frontier": f"with u as (select page_id, {_URL} as url from pages) select url, min(page_id) as ord, min(page_id) % 3 as priority from u where url not in (select url from u where page_id % 4 = 0) group by url",
 }
 SQL["quality_gate"] = f"with {_FINDINGS}, c as (select 0::bigint as critical, count(*) filter (where severity = 'error') as error, count(*) filter (where severity = 'warn') as warn, count(*) filter (where severity = 'info') as info, (select count(*) from orders) as documents from f) select *, error <= 0.02 * documents as passed, case when error <= 0.02 * documents then '' else (select string_agg(distinct \"check\", ',' order by \"check\") from f where severity = 'error') || ',error_rate' end as blocked_by, case when error > 0 then 'error' when warn > 0 then 'warn' else 'info' end as worst from c"
-SQL["alerts"] = f"with {_MARKS}, {_PLACES}, st as ({SQL['failure_streaks']}), a as (select code as jurisdiction, case when o is null then 'never_ingested' else 'stale' end as rule, case when o is null or {_LAG} >= 86400 then 'critical' when {_LAG} >= 21600 then 'warn' end as severity from places left join marks on code = jurisdiction union all select code, 'failing', case when streak >= 4 then 'critical' when streak >= 2 then 'warn' end from places left join st on code = jurisdiction) select * from a where severity is not null"
+SQL["alerts"] = f"with {_MARKS}, {_PLACES}, st as ({SQL['failure_streaks']}), a as (select code as jurisdiction, case when o is null then 'never_ingested' else 'stale_watermark' end as rule, case when o is null or {_LAG} >= 86400 then 'critical' when {_LAG} >= 21600 then 'warn' end as severity, case when o is null then 'jurisdiction has no watermark at all' when {_LAG} >= 86400 then 'watermark is critically stale' else 'watermark is behind the freshness target' end as message, case when o is null then -1 else {_LAG} end::bigint as value from places left join marks on code = jurisdiction union all select code, 'consecutive_failures', case when streak >= 4 then 'critical' when streak >= 2 then 'warn' end, case when streak >= 4 then 'ingest has failed repeatedly' else 'ingest is failing' end, coalesce(streak, 0) from places left join st on code = jurisdiction) select * from a where severity is not null"
+SQL["schedule_decisions"] = f"with {_MARKS}, {_PLACES}, chosen as ({SQL['schedule_plan']}) select code, case when o is null then -1 else {_LAG} end::bigint as lag, case when o is null then 'never ingested' when {_LAG} < 900 then 'within freshness target' else 'stale' end as reason, code in (select code from chosen) as selected from places left join marks on code = jurisdiction"
 SQL["backfill_plan"] = "with n as (select lower(n_name) as jurisdiction, n_nationkey % 3 + 2018 as f, n_regionkey % 2 = 0 as b from nation), y as (select jurisdiction, b, unnest(generate_series(case when b and f % 2 = 0 then f - 1 else f end, 2021, case when b then 2 else 1 end)) as y from n), s as (select jurisdiction, case when b then y || '-' || (y + 1) else y::varchar end as session, make_date(y, 1, 1) as a, least(make_date(case when b then y + 1 else y end, 12, 31), date '2021-05-10') as z from y), c as (select *, unnest(generate_series(a, z, interval 30 days))::date as start from s where a <= z) select jurisdiction, session, start::varchar as start, least(start + 29, z)::varchar as \"end\" from c"
+SQL["next_slices"] = f"with p as ({SQL['backfill_plan']}), r as (select *, left(session, 4) as y, row_number() over (partition by jurisdiction order by left(session, 4) desc, start) as i from p) select jurisdiction, session, start from r where i <= 3 order by y desc, jurisdiction, start limit 40"
 QUERIES |= more.QUERIES | source_queries.QUERIES
 SQL |= more.sql(_URL, _PLACES, _FINDINGS) | source_queries.SQL
