@@ -17,7 +17,9 @@ VOLATILE = [
     r"(?i)\bpage\s+\d+\s+of\s+\d+",
     r"\b[0-9a-fA-F]{32,64}\b",
 ]
-_BILL = r"^\s*([A-Za-z](?:[\s._]*[A-Za-z]){0,5})[\s._-]*([0-9]{1,6})(?:[\s._-]*([A-Za-z]{1,3}))?\s*$"
+_BILL = r"^\s*([A-Za-z](?:[\s._]*[A-Za-z]){0,5})[\s._-]*([0-9]{1,%d})(?:[\s._-]*([A-Za-z]{1,3}))?\s*$"
+#: Digits of a bill number in the portals, and of any number that a table can have as its key.
+BILL_DIGITS, KEY_DIGITS = 6, 19
 
 
 def collapse(text: Column) -> Column:
@@ -29,15 +31,17 @@ def slugify(text: Column, limit: int = 80) -> Column:
     return F.when(folded == "", F.lit("unknown")).otherwise(F.regexp_replace(F.substring(folded, 1, limit), "-+$", ""))
 
 
-def bill_number(raw: Column) -> Column:
-    """struct(prefix, number, suffix), null if the text is no bill designator."""
-    part = lambda i: F.regexp_extract(raw, _BILL, i)
-    out = F.struct(F.upper(F.regexp_replace(part(1), "[^A-Za-z]+", "")).alias("prefix"), part(2).try_cast("int").alias("number"), F.upper(part(3)).alias("suffix"))
-    return F.when(raw.rlike(_BILL), out)
+def bill_number(raw: Column, digits: int = BILL_DIGITS) -> Column:
+    """struct(prefix, number, suffix), null if the text is no bill designator; a number of more
+    than ``digits`` digits makes none."""
+    bill = _BILL % digits
+    part = lambda i: F.regexp_extract(raw, bill, i)
+    out = F.struct(F.upper(F.regexp_replace(part(1), "[^A-Za-z]+", "")).alias("prefix"), part(2).try_cast("int" if digits < 10 else "long").alias("number"), F.upper(part(3)).alias("suffix"))
+    return F.when(raw.rlike(bill), out)
 
 
-def citation(jurisdiction: Column, session: Column, raw: Column) -> Column:
-    b = bill_number(raw)
+def citation(jurisdiction: Column, session: Column, raw: Column, digits: int = BILL_DIGITS) -> Column:
+    b = bill_number(raw, digits)
     tail = F.coalesce(F.concat(b["prefix"], b["number"].cast("string"), b["suffix"]), F.upper(slugify(raw, 24)))
     return F.concat_ws("-", F.lower(jurisdiction), slugify(session, 24), tail)
 

@@ -23,6 +23,7 @@ def test_docket_wording(spark):
 
 def test_ids(spark):
     assert column(spark, ["H.B. 1234", "sb12-a", "A resolution"], lambda c: ids.citation(F.lit("CA"), F.lit("2023-2024"), c)) == ["ca-2023-2024-HB1234", "ca-2023-2024-SB12A", "ca-2023-2024-A-RESOLUTION"]
+    assert column(spark, ["HB 1000000"], lambda c: ids.citation(F.lit("CA"), F.lit("2024"), c)) == ["ca-2024-HB-1000000"]
     want = str(uuid.uuid5(uuid.UUID(ids.NAMESPACE), "bill::x"))
     assert column(spark, ["x"], lambda c: ids.document_id(c, F.lit("bill"))) == [want]
 
