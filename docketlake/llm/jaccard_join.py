@@ -12,7 +12,9 @@ split by size at a boundary chosen by cost:
 
 Sets near the boundary do both. In every list, sets are first compared with one pivot; then
 only sets that are still in different components are compared, so a group of near copies costs
-a few comparisons for each set. Comparisons are exact intersections. Shingles are known by
+a few comparisons for each set. What near copies of a group are then left outside its component
+is told from the group by what each set has other than the group's pivot (see ``_beside``), so
+that nothing is compared with the whole group. Comparisons are exact intersections. Shingles are known by
 64-bit hashes, which two sets that are compared would have to share by chance; sets whose 64-bit
 names agree are told apart by a second hash.
 """
@@ -42,6 +44,8 @@ SCAN = 16
 #: Open lists are compared with one pivot each, at least so many turns, until what is left open
 #: takes no more comparisons than there are postings, or a turn leaves more than this share open.
 LEAST_TURNS, GAIN = 2, 0.75
+#: Open lists of more sets than this, half of them of one component, are not gone through pair by pair.
+LONG = 64
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -368,10 +372,54 @@ def _open(named: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     named = kept_table(named, "labelled")
     parts = named.groupBy(*key, "label").agg(F.count("*").alias("n"))
     lists = parts.groupBy(*key).agg(F.sum("n").alias("_all"), F.max("n").alias("_most"), F.max(F.struct("n", "label")).alias("m")).where("_most < _all")
-    lists = kept_table(lists.select(*key, F.col("m.label").alias("main"), ((F.col("_all") - F.col("_most")) * F.col("_all")).cast("double").alias("cost")), "open")
+    long = (F.col("_all") > LONG) & (2 * F.col("_most") >= F.col("_all"))
+    lists = kept_table(lists.select(*key, F.col("m.label").alias("main"), long.alias("long"), ((F.col("_all") - F.col("_most")) * F.col("_all")).cast("double").alias("cost")), "open")
     pending = int(lists.agg(F.sum("cost")).first()[0] or 0)
     lists = lists.drop("cost")
-    return kept_table(named.join(lists.drop("main"), key), "named") if pending else named, lists, pending
+    return kept_table(named.join(lists.select(*key), key), "named") if pending else named, lists, pending
+
+
+def _beside(rest: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(links, pairs) (x, y) of the long lists: every similar pair of sets in different components
+    that have such a list in common is a link, or one of the pairs, or joined by the links.
+
+    The sets of all lists with one main component are held against a pivot p of it. With D(s) for
+    what is in s or in p but not in both, s and t of n and m shingles differ by |D(s)| + |D(t)|
+    less twice what D(s) and D(t) share. So they are similar if 2 (100 + PERCENT) times the shared
+    part reaches w(s) + w(t), w(s) = (100 + PERCENT) |D(s)| - (100 - PERCENT) n. Always w(t) >=
+    -(100 - PERCENT) |p|, and w(s) > (100 - PERCENT) |p| unless s and p are similar, which is a
+    link. So each pair with such an s must share one of D(s) and D(t), and the first ones will do:
+    in D(t) about half. What near copies have beside p comes first, as it is rarely shared; then
+    p's own shingles, those in most sets first; last those that only p has.
+    """
+    c, e = 100 + PERCENT, 100 - PERCENT
+    members = kept_table(rest.where("long").groupBy("main", "sid", "label").agg(F.first("n").alias("n"), F.max("central").alias("central")), "members")
+    held = sieved(sets.select("sid", "els"), "sid", members.select(F.col("sid").alias("key")))
+    members = kept_table(members.join(held, "sid"), "members")
+    # what a near copy has of its own is rare or no one else's: the pivot is the set with the least of that
+    usual = F.struct(F.col("central") * F.size("els") / F.col("n"), F.col("sid"))
+    pivots = members.where("label = main").groupBy("main").agg(F.max_by(F.struct("sid", "n"), usual).alias("p"))
+    pivots = pivots.select(F.col("p.sid").alias("sid"), F.col("p.n").alias("np"), "main")
+    pivots = kept_table(pivots.join(sets.select("sid", F.col("els").alias("ep")), "sid").withColumnRenamed("sid", "p"), "pivots")
+    d = members.join(pivots, "main").where("sid <> p")
+    d = d.withColumns({"up": F.array_except("els", "ep"), "down": F.reverse(F.array_except("ep", "els"))})
+    d = d.withColumn("size", F.col("n") + F.col("np") - 2 * (F.size("els") - F.size("up")))
+    d = d.withColumns({"w": c * F.col("size") - e * F.col("n"), "outside": F.col("label") != F.col("main"), "alone": F.col("n") - F.size("els"), "last": F.col("np") - F.size("ep")})
+    d = d.withColumn("similar", c * F.col("size") <= e * (F.col("n") + F.col("np")))
+    only_p = F.when(F.col("last") > 0, F.sequence(F.lit(1).cast("long"), F.col("last"))).otherwise(F.array().cast("array<long>"))
+    d = kept_table(d.select("main", "sid", "label", "p", "np", "size", "w", "alone", (F.col("outside") & ~F.col("similar")).alias("asks"), (F.col("outside") & F.col("similar")).alias("linked"), F.concat("up", "down", only_p).alias("els")), "beside")
+
+    def first(rows: DataFrame, least: Column) -> DataFrame:
+        """at: place within D; what a set alone has comes before all else and needs no row."""
+        n = F.col("size") - F.greatest(F.lit(1), F.ceil(least / F.lit(2.0 * c))) + 1 - F.col("alone")
+        rows = rows.where(n > 0).select("main", "sid", "label", "size", "w", "alone", "asks", F.posexplode(F.slice("els", F.lit(1), n.cast("int"))).alias("_at", "el"))
+        return rows.withColumn("room", F.col("size") - F.col("alone") - F.col("_at")).drop("size", "alone", "_at")
+
+    asking = first(d.where("asks"), F.col("w") - e * F.col("np")).alias("a")
+    others = first(d, F.col("w") + e * F.col("np") + 1).alias("b")
+    pairs = asking.join(others, ["main", "el"]).where("a.label <> b.label and (not b.asks or a.sid > b.sid)")
+    pairs = pairs.where(2 * c * F.least("a.room", "b.room") >= F.col("a.w") + F.col("b.w"))
+    return d.where("linked").select(F.col("sid").alias("x"), F.col("p").alias("y")), pairs.select(F.col("a.sid").alias("x"), F.col("b.sid").alias("y"))
 
 
 def similar_sets(own: DataFrame, found: DataFrame, name: Names) -> DataFrame | None:
@@ -416,10 +464,14 @@ def similar_sets(own: DataFrame, found: DataFrame, name: Names) -> DataFrame | N
         return labels
     # lists that still hold several components: sets outside the largest against all others
     rest = kept_table(named.join(open_, key), "rest")
-    pairs = rest.where("label <> main").alias("a").join(rest.alias("b"), key)
-    more = pairs.where("a.label <> b.label and (b.label = b.main or a.sid > b.sid)").where(_fit("a", "b", top, "room")).select(F.col("a.sid").alias("x"), F.col("b.sid").alias("y")).distinct()
+    links, beside = _beside(rest, sets)
+    short = rest.where("not long")
+    pairs = short.where("label <> main").alias("a").join(short.alias("b"), key)
+    more = pairs.where("a.label <> b.label and (b.label = b.main or a.sid > b.sid)").where(_fit("a", "b", top, "room")).select(F.col("a.sid").alias("x"), F.col("b.sid").alias("y"))
     known = stars.union(stars.selectExpr("y as x", "x as y"))
-    added = kept_table(_linked(more.join(known, ["x", "y"], "left_anti"), sets), "links")
+    # a table, as the test of the pairs reads them several times
+    more = kept_table(more.union(beside).distinct().join(known, ["x", "y"], "left_anti"), "pairs")
+    added = kept_table(_linked(more, sets).union(links).distinct(), "links")
     return labels if added.isEmpty() else joined_components(labels, added)
 
 
