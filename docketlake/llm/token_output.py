@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -36,6 +37,14 @@ CACHE_PIECES = 800_000
 CACHE_BYTES = 32 << 20
 ENCODE_BYTES = 2 << 20
 LINE_PIECES = 1000
+#: Pre-tokens whose ids a worker keeps; all are dropped when there are more.
+CACHE_PRETOKENS = 1 << 16
+#: The library's pre-tokenizer for which ``_SPLIT`` is known to be the same, on pieces of
+#: ``_BASIC``: printable ASCII, line feeds inside, and Latin letters up to U+024F.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+_LATIN = "À-ÖØ-öø-ɏ"
+_BASIC = rf"^[!-~{_LATIN}]([!-~\n{_LATIN}]*[!-~{_LATIN}])?$"
+_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z{_LATIN}]+| ?[0-9]+| ?[^ \nA-Za-z0-9{_LATIN}]+|[ \n]+(?![^ \n])|[ \n]+")
 #: Documents whose boundaries are selected at a time when a shard is read.
 READ_DOCS = 1 << 14
 SAMPLE = 256
@@ -124,13 +133,27 @@ class EliasFano:
         return ((out - i).astype(np.uint64) << np.uint64(self.low_bits)) | self._low_of(i)
 
 
+def _byte_marks() -> dict[int, str]:
+    """The characters that a byte-level vocabulary has for the bytes of each code point up to U+024F."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    marks = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
+    return {c: "".join(marks[b] for b in chr(c).encode()) for c in range(0x250)}
+
+
+def _strings(column: pa.Array) -> list[str]:
+    """As to_pylist, without an Arrow scalar for each string."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class PieceEncoder:
     """Ids of whole texts by the tokenizers library, with equal pieces encoded once.
 
     A byte-level tokenizer never merges across a single space that stands between two other
     characters, so a text without doubled white space is the concatenation of its pieces.
-    Pieces new to the cache go to the library joined into long lines: each of their first
-    tokens, and no other, begins with the mark of a space. Texts that hold the content of an
+    New pieces are mostly known words with other signs beside them. Those of letters and signs
+    for which the byte-level rule is plain are cut into its pre-tokens here, and each pre-token
+    goes to the library's model once. Other new pieces go to the library joined into long lines:
+    each of their first tokens, and no other, begins with the mark of a space. Texts that hold the content of an
     added token, or white space that borders on a space, are encoded whole. The cache is Arrow
     data without Python objects and is emptied when it would pass CACHE_PIECES or CACHE_BYTES.
     """
@@ -146,6 +169,11 @@ class PieceEncoder:
         size = self.tokenizer.get_vocab_size()
         self.dtype = "<u2" if size <= 1 << 16 else "<u4"
         self.starts = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
+        rules = json.loads(self.tokenizer.to_str())
+        steps = rules["pre_tokenizer"] or {}
+        self.plain = not rules["normalizer"] and not rules["post_processor"] and {k: steps.get(k) for k in _BYTE_LEVEL} == _BYTE_LEVEL
+        self.model, self.marks = self.tokenizer.model, _byte_marks()
+        self.memo: dict[str, bytes] = {}
         self.odd = regex.compile(r"^$|^[\s\p{Z}\p{C}]|[\s\p{Z}\p{C}]$").search
         self._clear()
 
@@ -157,6 +185,26 @@ class PieceEncoder:
     def _lists(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _by_pretokens(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_encoded``, for pieces of ``_BASIC``."""
+        names = _SPLIT.findall(" " + " ".join(pieces)) if pieces else []
+        if len(self.memo) > CACHE_PRETOKENS:
+            self.memo.clear()
+        memo, marks, tokenize, kind = self.memo, self.marks, self.model.tokenize, "H" if self.dtype == "<u2" else "I"
+        new = [x for x in dict.fromkeys(names) if x not in memo]
+        ascii_ = [x for x in new if x.isascii()]
+        others = [x for x in new if not x.isascii()]
+        between = "\u0300"  # in no piece of _BASIC
+        shown = [between.join(ascii_).replace(" ", marks[32]).replace("\n", marks[10]), between.join(others).translate(marks)]
+        for group, text in zip((ascii_, others), shown, strict=True):
+            for x, name in zip(group, text.split(between) if group else (), strict=True):
+                ids = [t.id for t in tokenize(name)]
+                memo[x] = struct.pack(f"<{len(ids)}{kind}", *ids)
+        parts = [memo[x] for x in names]
+        n = np.fromiter(map(len, parts), np.int64, len(parts)) // np.dtype(self.dtype).itemsize
+        first = [i for i, x in enumerate(names) if x[0] == " "]
+        return np.frombuffer(b"".join(parts), self.dtype), np.add.reduceat(n, first) if pieces else n
+
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces, number of ids of each), each piece led by a space."""
         lines = [pieces[a : a + LINE_PIECES] for a in range(0, len(pieces), LINE_PIECES)]
@@ -184,9 +232,13 @@ class PieceEncoder:
         slot_of = pc.fill_null(pc.index_in(names, value_set=self.known), -1).to_numpy().astype(np.int64)
         # a piece that is empty or borders on more white space gets no slot
         unknown = np.flatnonzero(slot_of < 0)
-        fresh = [x if not self.odd(x) else None for x in names.take(pa.array(unknown)).to_pylist()]
-        taken = unknown[[x is not None for x in fresh]] if len(unknown) else unknown
-        ids, n = self._encoded([x for x in fresh if x is not None])
+        new = names.take(pa.array(unknown))
+        basic = pc.match_substring_regex(new, _BASIC).to_numpy(zero_copy_only=False).astype(bool) & self.plain
+        rest = _strings(new.filter(pa.array(~basic)))
+        fine = np.array([not self.odd(x) for x in rest], dtype=bool)
+        taken = np.concatenate([unknown[basic], unknown[~basic][fine]])
+        found = self._by_pretokens(_strings(new.filter(pa.array(basic)))), self._encoded([x for x, ok in zip(rest, fine, strict=True) if ok])
+        ids, n = (np.concatenate(x) for x in zip(*found, strict=True))
         slot_of[taken] = len(self.start) + np.arange(len(taken))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(n) - n])
         self.length = np.concatenate([self.length, n])
@@ -195,7 +247,7 @@ class PieceEncoder:
         pieces = coded.indices.to_numpy()
         slot = slot_of[pieces]
         # first pieces have no space before them: encoded for this batch alone
-        head = names.take(pa.array(pieces[first])).to_pylist()
+        head = _strings(names.take(pa.array(pieces[first])))
         heads = {x: i for i, x in enumerate(dict.fromkeys(x for x in head if not self.odd(x)))}
         lists = self._lists(list(heads))
         sizes = np.array([len(x) for x in lists], dtype=np.int64)
