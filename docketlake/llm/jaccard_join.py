@@ -366,17 +366,21 @@ def joined_components(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def _open(named: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """The rows of lists that hold several components, those lists with their largest component,
-    and the number of pairs that a comparison of all that is open would take."""
+    """The rows of lists that hold several components (and of others, where most are of such), those
+    lists with their largest component, and the number of pairs that a comparison of all that is
+    open would take."""
     key = ["sig", "light"]
     named = kept_table(named, "labelled")
     parts = named.groupBy(*key, "label").agg(F.count("*").alias("n"))
     lists = parts.groupBy(*key).agg(F.sum("n").alias("_all"), F.max("n").alias("_most"), F.max(F.struct("n", "label")).alias("m")).where("_most < _all")
     long = (F.col("_all") > LONG) & (2 * F.col("_most") >= F.col("_all"))
-    lists = kept_table(lists.select(*key, F.col("m.label").alias("main"), long.alias("long"), ((F.col("_all") - F.col("_most")) * F.col("_all")).cast("double").alias("cost")), "open")
-    pending = int(lists.agg(F.sum("cost")).first()[0] or 0)
-    lists = lists.drop("cost")
-    return kept_table(named.join(lists.select(*key), key), "named") if pending else named, lists, pending
+    lists = kept_table(lists.select(*key, F.col("m.label").alias("main"), long.alias("long"), ((F.col("_all") - F.col("_most")) * F.col("_all")).cast("double").alias("cost"), "_all"), "open")
+    cost, rows = lists.agg(F.sum("cost"), F.sum("_all")).first()
+    pending = int(cost or 0)
+    lists = lists.drop("cost", "_all")
+    if pending and 2 * rows < named.count():  # else a filter moves more than it saves
+        named = kept_table(sieved(named, "sig", lists.select(F.col("sig").alias("key"))).join(lists.select(*key), key), "named")
+    return named, lists, pending
 
 
 def _beside(rest: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -400,7 +404,9 @@ def _beside(rest: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     usual = F.struct(F.col("central") * F.size("els") / F.col("n"), F.col("sid"))
     pivots = members.where("label = main").groupBy("main").agg(F.max_by(F.struct("sid", "n"), usual).alias("p"))
     pivots = pivots.select(F.col("p.sid").alias("sid"), F.col("p.n").alias("np"), "main")
-    pivots = kept_table(pivots.join(sets.select("sid", F.col("els").alias("ep")), "sid").withColumnRenamed("sid", "p"), "pivots")
+    pivots = kept_table(pivots, "pivots")
+    of = sieved(sets.select("sid", F.col("els").alias("ep")), "sid", pivots.select(F.col("sid").alias("key")))
+    pivots = kept_table(pivots.join(of, "sid").withColumnRenamed("sid", "p"), "pivots")
     d = members.join(pivots, "main").where("sid <> p")
     d = d.withColumns({"up": F.array_except("els", "ep"), "down": F.reverse(F.array_except("ep", "els"))})
     d = d.withColumn("size", F.col("n") + F.col("np") - 2 * (F.size("els") - F.size("up")))
